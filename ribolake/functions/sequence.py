@@ -80,17 +80,17 @@ def count_of(seq: Column, letters: str) -> Column:
     return F.length(seq) - F.length(F.translate(seq, letters, ""))
 
 
-def adapter_start(seq: Column, adapter: str, min_overlap: int = 4) -> Column:
-    """Zero-based position where the 3' adapter begins, or null.
+def without_adapter(seq: Column, adapter: str, min_overlap: int = 4) -> Column:
+    """The read before its 3' adapter.
 
     The whole adapter anywhere in the read comes first; otherwise the longest read
-    end that is a beginning of the adapter, down to ``min_overlap`` bases.
+    end that is a beginning of the adapter, down to ``min_overlap`` bases. One pattern
+    does both: a partial adapter at the end always starts right of a whole one.
     """
-    whole = F.instr(seq, adapter)
-    found = F.when(whole > 0, whole - 1)
-    for size in range(len(adapter) - 1, min_overlap - 1, -1):
-        found = found.when(F.endswith(seq, F.lit(adapter[:size])), F.length(seq) - size)
-    return found
+    tail = ""
+    for base in reversed(adapter[min_overlap:-1]):
+        tail = f"(?:{base}{tail})?"
+    return F.regexp_replace(seq, rf"{adapter}.*\z|{adapter[:min_overlap]}{tail}\z", "")
 
 
 def two_decimals(value: Column) -> Column:

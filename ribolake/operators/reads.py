@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.sequence import adapter_start, count_of, low_quality_bases, strip_gaps
+from ..functions.sequence import count_of, low_quality_bases, strip_gaps, without_adapter
 from .ranking import ranked
 
 
@@ -16,11 +16,11 @@ def length_filter(df: DataFrame, min_length: int = 15, max_length: int | None =
 
 def trim_adapter(df: DataFrame, adapter: str, min_overlap: int = 4) -> DataFrame:
     """Cut the 3' adapter from ``seq`` and ``qual``."""
-    keep = F.coalesce(adapter_start(F.col("seq"), adapter, min_overlap), F.length("seq"))
-    return df.withColumn("_keep", keep).withColumns({
-        "seq": F.substring("seq", F.lit(1), F.col("_keep")),
-        "qual": F.substring("qual", F.lit(1), F.col("_keep")),
-    }).drop("_keep")
+    # The one-element explode is a fence: without it every later filter would be pushed
+    # below this projection and would repeat the pattern search for each of its uses.
+    kept = F.explode(F.array(F.length(without_adapter(F.col("seq"), adapter, min_overlap)))).alias("_kept")
+    cut = lambda c: F.substring(c, F.lit(1), F.col("_kept")).alias(c)
+    return df.select("*", kept).select(*[cut(c) if c in ("seq", "qual") else c for c in df.columns])
 
 
 def detect_adapter(df: DataFrame, k: int = 12) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("intervals",)
+MODULES = ("intervals", "reads")
 
 
 def load():

@@ -8,9 +8,13 @@ are filled in per engine. ``spark_table`` gives a DataFrame, ``with_tables`` the
 from __future__ import annotations
 
 import re
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.staging import spread, staging_folder
+
 # Fixed value: the 3' adapter put onto a third of the reads.
 ADAPTER = "TGGAATTCTCGGGTGCCAAGG"
 
@@ -19,6 +23,9 @@ BASE_TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Tables whose rows unfold into many reads, with the column that spreads them.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id"}
+
 _DIALECT = {
     "spark": {
         "dna": "translate(regexp_replace(lower({0}),'[^a-z]',''),'abcdefghijklmnopqrstuvwxyz','ACGTACGTACGTACGTNCGTACGTAC')",
@@ -34,9 +41,14 @@ _DIALECT = {
     },
 }
 
+# Windows of a text every ``step`` bases, in two levels so that no window is sought
+# from the start of a long text: blocks of 100 windows first, then the windows.
 _CUT = """
- select {key}, i, substring(dna, cast(1+i*{step} as int), cast({size} as int)) w
- from (select {key}, dna, @each(@div(length(dna)-1,{step})) i from {source} where length(dna)>0) c"""
+ select {key}, i, substring(block, cast(1+(i%100)*{step} as int), cast({size} as int)) w
+ from (select {key}, block, b*100+j i
+  from (select {key}, b, block, @each(@div(least(length(block),100*{step})-1,{step})) j
+   from (select {key}, b, substring(dna, cast(1+b*100*{step} as int), 100*{step}+64) block
+    from (select {key}, dna, @each(@div(length(dna)-1,100*{step})) b from {source} where length(dna)>0) c) f) g) h"""
 
 _SPIKE = """
  select {key}, i, case when i%2=1 then reverse(translate(q,'ACGT','TGCA')) else q end seq
@@ -170,10 +182,28 @@ def _needs(name: str) -> list[str]:
     return [*out, name]
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base or derived table as a DataFrame."""
+    """A base or derived table as a DataFrame.
+
+    A derived table stands for stored input: Spark derives it once in a session and
+    writes it to the staging folder, so queries scan it as they would real reads.
+    """
     if name in BASE_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    try:
+        return spark.read.parquet(_WRITTEN[key])
+    except (KeyError, AnalysisException):
+        path = f"{staging_folder(spark)}/input-{name}-{uuid.uuid4().hex}"
+        _derived(spark, sf_dir, name).write.parquet(path)
+        _WRITTEN[key] = path
+        return spark.read.parquet(path)
+
+
+def _derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ctes = []
     for n in _needs(name):
         ctes.append(f"{n} as ({_fill(TABLES[n], 'spark')})")
@@ -182,7 +212,11 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = re.sub(
         r"\b(from|join)\s+(" + "|".join(used) + r")\b", r"\1 {\2}", text
     )
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    for t, key in TEXT_KEYS.items():
+        if t in frames:
+            frames[t] = spread(frames[t], key)
+    return spark.sql(text, **frames)
 
 
 def with_tables(names: str, body: str) -> str:

@@ -8,6 +8,7 @@ from ..functions.alignment import is_mapped, strand_of
 from ..operators import intervals as iv
 from ..sources.gff import gff_intervals, gff_lines, gff_wide
 from ..sources.sam import sam_records
+from ..operators.staging import stage
 from .catalog import query
 
 GAP = 10
@@ -34,7 +35,7 @@ def _cds(t):
 
 def _clusters(t):
     """Named, supported clusters of each sample."""
-    return iv.novel_clusters(_alignments(t), GAP)
+    return stage(iv.novel_clusters(_alignments(t), GAP), "clusters")
 
 
 # SQL pieces: gaps and islands per sample, contig and strand; naming; support.
