@@ -9,13 +9,14 @@ column expressions; nothing is capped.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequence import has_ambiguous, mismatches_up_to, normalise, revcomp
-from .staging import BROADCAST_ROWS, join_side, stage
+from .staging import BROADCAST_ROWS, join_side, spread, stage
 
 HIT_COLUMNS = ("seq", "ref_id", "pos", "strand", "mm")
 
@@ -75,14 +76,30 @@ def tile_seeds(tiles: DataFrame, k: int, tile: int, strands: str = "both") -> Da
     )
 
 
+def seed_length(bases: int, min_length: int) -> int:
+    """Seed length at which a random seed occurs about once on both strands of the panel."""
+    return max(7, min(min_length, math.ceil(math.log(max(2 * bases, 4), 4))))
+
+
 def build_index(
-    panel: DataFrame, k: int = 15, max_length: int = 250, strands: str = "both", tile: int = 512
+    panel: DataFrame,
+    k: int | None = None,
+    min_length: int = 15,
+    max_length: int = 250,
+    strands: str = "both",
+    tile: int = 512,
 ) -> PanelIndex:
-    """Index a panel (ref_id, seq) once for any number of samples and joins."""
-    tiles = stage(panel_tiles(panel, max(tile, max_length), max_length), "tiles")
+    """Index a panel (ref_id, seq) once for any number of samples and joins.
+
+    ``k`` defaults to a length that fits the panel's size; it may not exceed the
+    shortest sequence that will be aligned.
+    """
     tile = max(tile, max_length)
+    tiles = stage(panel_tiles(panel, tile, max_length), "tiles")
+    size = tiles.agg(F.sum(F.length("context")).alias("bases"), F.count("*").alias("rows")).first()
+    k = k or seed_length(size["bases"] or 0, min_length)
     seeds = stage(tile_seeds(tiles, k, tile, strands), "seeds")
-    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), tiles.count())
+    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"])
 
 
 def _edits(k: int, radius: int) -> list[tuple[tuple[int, str], ...]]:
@@ -209,7 +226,7 @@ def mismatch_join(
     ``report`` is ``all`` (every hit within ``v``), ``best1`` (one best hit) or
     ``best_strata`` (all hits of the best class). Identical reads are aligned once.
     """
-    hits = all_hits(reads.select("seq").distinct(), index, v, min_length, broadcast_rows)
+    hits = all_hits(spread(reads.select("seq").distinct(), "seq"), index, v, min_length, broadcast_rows)
     if report == "all":
         return hits
     if report == "best1":

@@ -249,7 +249,7 @@ def extract_sequences(regions: DataFrame, contigs: DataFrame, chunk: int = 4096)
     asked = inside.select("contig", "start", "end", "strand").distinct()
     asked = asked.withColumn(
         "_chunk",
-        F.explode(F.sequence(F.floor(F.col("start") / chunk), F.floor((F.col("end") - 1) / chunk))).cast("int"),
+        F.explode(F.sequence(F.floor(F.col("start") / chunk).cast("int"), F.floor((F.col("end") - 1) / chunk).cast("int"))),
     )
     base = F.col("_chunk").cast("bigint") * chunk
     low = F.greatest(F.col("start") - base, F.lit(0)).cast("int")

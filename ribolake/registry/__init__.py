@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("intervals", "reads")
+MODULES = ("intervals", "reads", "alignment")
 
 
 def load():
