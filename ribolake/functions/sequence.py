@@ -24,7 +24,7 @@ def revcomp(seq: Column) -> Column:
 
 def has_ambiguous(seq: Column) -> Column:
     """True where a character other than A, C, G, T occurs."""
-    return F.translate(seq, "ACGT", "") != ""
+    return seq.rlike("[^ACGT]")
 
 
 def strip_gaps(seq: Column) -> Column:

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,7 +53,9 @@ def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
     return parts.select("ref_id", "ref_len", F.explode(tiles).alias("t")).select(
         "ref_id", "ref_len", F.col("t.tile").alias("tile"),
         (F.col("t.tile") * tile - F.length("t.left")).alias("context_start"),
-        F.concat("t.left", "t.mid", "t.right").alias("context"),
+        # As bytes: a slice of a binary value costs its own length, a substring of text
+        # is sought from the beginning.
+        F.encode(F.concat("t.left", "t.mid", "t.right"), "UTF-8").alias("context"),
     )
 
 
@@ -66,7 +67,7 @@ def tile_seeds(tiles: DataFrame, k: int, tile: int, strands: str = "both") -> Da
         "ref_id", "tile", "context", "context_start", F.explode(F.sequence(begin, end - 1)).alias("at")
     ).select(
         "ref_id", "tile", "at",
-        F.substring("context", (F.col("at") - F.col("context_start") + 1).cast("int"), F.lit(k)).alias("kmer"),
+        F.substring("context", (F.col("at") - F.col("context_start") + 1).cast("int"), F.lit(k)).cast("string").alias("kmer"),
     ).filter(~has_ambiguous(F.col("kmer")))
     sides = [F.struct(F.lit("+").alias("strand"), F.col("kmer").alias("kmer"))]
     if strands == "both":
@@ -102,38 +103,22 @@ def build_index(
     return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"])
 
 
-def _edits(k: int, radius: int) -> list[tuple[tuple[int, str], ...]]:
-    """Every choice of at most ``radius`` positions with a base to put there."""
-    out: list[tuple[tuple[int, str], ...]] = []
-    for size in range(radius + 1):
-        for places in combinations(range(1, k + 1), size):
-            out += [tuple(zip(places, bases)) for bases in product("ACGT", repeat=size)]
-    return out
+def _edit_list(k: int, wanted: bool) -> Column:
+    """Single-base replacements (at, base) and, first, the one that changes nothing."""
+    places = [(0, "")] + ([(i, base) for i in range(1, k + 1) for base in "ACGT"] if wanted else [])
+    return F.array(*[F.struct(F.lit(i).alias("at"), F.lit(base).alias("base")) for i, base in places])
 
 
-def _probe_list(k: int, v: int, pieces: int) -> Column:
-    radius = v // pieces
-    if radius > 2:
-        raise ValueError(f"k={k} leaves reads with {pieces} piece(s) for {v} mismatches; use a smaller k")
-
-    def probe(piece: int, edits: tuple[tuple[int, str], ...]) -> Column:
-        padded = [*edits, (0, ""), (0, "")][:2]
-        return F.struct(
-            F.lit(piece).alias("piece"),
-            F.lit(padded[0][0]).alias("i"), F.lit(padded[0][1]).alias("x"),
-            F.lit(padded[1][0]).alias("j"), F.lit(padded[1][1]).alias("y"),
-        )
-
-    return F.array(*[probe(p, e) for p in range(pieces) for e in _edits(k, radius)])
-
-
-def _replaced(kmer: Column, at: Column, base: Column) -> Column:
-    changed = F.concat(F.substring(kmer, F.lit(1), at - 1), base, F.substring(kmer, at + 1, F.length(kmer)))
-    return F.when(at > 0, changed).otherwise(kmer)
-
-
-def _is_change(kmer: Column, at: Column, base: Column) -> Column:
-    return (at == 0) | (F.substring(kmer, at, F.lit(1)) != base)
+def _edited(rows: DataFrame, k: int, radius: Column, step: int, after: Column) -> DataFrame:
+    """Unfold ``kmer`` by one replacement right of ``after`` where ``radius`` allows it."""
+    choice = F.when(radius >= step, _edit_list(k, True)).otherwise(_edit_list(k, False))
+    name = f"_edit{step}"
+    rows = rows.select("*", F.explode(choice).alias(name))
+    at, base = F.col(f"{name}.at"), F.col(f"{name}.base")
+    changes = (at > after) & (F.substring("kmer", at, F.lit(1)) != base)
+    return rows.filter((at == 0) | changes).withColumn(
+        "kmer", F.when(at > 0, F.overlay("kmer", base, at)).otherwise(F.col("kmer"))
+    )
 
 
 def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: int) -> DataFrame:
@@ -142,23 +127,31 @@ def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: i
     A sequence outside the length limits is an error, never a silent miss.
     """
     size = F.length("seq")
+    fewest = min(min_length // k, v + 1)
+    widest = v // fewest
+    if widest > 2:
+        raise ValueError(f"{v} mismatches in {fewest} piece(s) of {k} need a smaller seed length")
     outside = F.concat(F.lit(f"sequence length not within {min_length}..{max_length}: "), F.col("seq"))
-    pieces = F.when(
-        size.between(min_length, max_length), F.least(F.floor(size / k), F.lit(v + 1)).cast("int")
-    ).otherwise(F.raise_error(outside).cast("int"))
-    choice = None
-    for p in range(min(min_length // k, v + 1), v + 2):
-        is_p, probes = F.col("pieces") == p, _probe_list(k, v, p)
-        choice = F.when(is_p, probes) if choice is None else choice.when(is_p, probes)
-    rows = reads.select("seq", pieces.alias("pieces")).select("seq", "pieces", F.explode(choice).alias("p"))
-    offset = (F.col("p.piece") * F.floor(F.length("seq") / F.col("pieces"))).cast("int")
-    rows = rows.select("seq", "pieces", "p", offset.alias("offset"), F.substring("seq", offset + 1, F.lit(k)).alias("_base"))
-    base = F.col("_base")
-    rows = rows.filter(_is_change(base, F.col("p.i"), F.col("p.x")) & _is_change(base, F.col("p.j"), F.col("p.y")))
-    kmer = _replaced(_replaced(base, F.col("p.i"), F.col("p.x")), F.col("p.j"), F.col("p.y"))
-    return rows.select("seq", "pieces", F.col("p.piece").alias("piece"), "offset", kmer.alias("kmer")).filter(
-        ~has_ambiguous(F.col("kmer"))
+    pieces = F.when(size.between(min_length, max_length), F.least(F.floor(size / k), F.lit(v + 1)).cast("int"))
+    pieces = pieces.otherwise(F.raise_error(outside).cast("int"))
+
+    def cut(piece: Column) -> Column:
+        offset = (piece * F.floor(size / F.col("pieces"))).cast("int")
+        return F.struct(
+            piece.alias("piece"), offset.alias("offset"), F.substring("seq", offset + 1, F.lit(k)).alias("kmer")
+        )
+
+    # Unfolding structs (not positions) makes each piece a computed column, so the
+    # many replacements below do not cut it out of the read again.
+    rows = reads.select("seq", pieces.alias("pieces")).select(
+        "seq", "pieces", F.inline(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), cut))
     )
+    radius = F.floor(F.lit(v) / F.col("pieces"))
+    after = F.lit(0)
+    for step in range(1, widest + 1):
+        rows = _edited(rows, k, radius, step, after)
+        after = F.when(F.col(f"_edit{step}.at") > 0, F.col(f"_edit{step}.at")).otherwise(k)
+    return rows.select("seq", "pieces", "piece", "offset", "kmer").filter(~has_ambiguous(F.col("kmer")))
 
 
 def all_hits(
@@ -185,20 +178,31 @@ def all_hits(
         F.col("at") - size + F.col("offset") + k
     )
     found = probes.join(seeds, "kmer").withColumn("pos", start).filter("pos >= 0")
-    window = F.substring("context", (F.col("pos") - F.col("context_start") + 1).cast("int"), size)
-    found = found.join(tiles, ["ref_id", "tile"]).filter(F.col("pos") + size <= F.col("ref_len")).withColumn("_fwd", window)
-    found = found.filter(~has_ambiguous(F.col("_fwd"))).withColumn(
-        "_win", F.when(F.col("strand") == "-", revcomp(F.col("_fwd"))).otherwise(F.col("_fwd"))
-    ).withColumn("mm", mismatches_up_to(F.col("seq"), F.col("_win"), v)).filter("mm is not null")
+    found = found.join(tiles, ["ref_id", "tile"]).filter(F.col("pos") + size <= F.col("ref_len"))
+    window = F.substring("context", (F.col("pos") - F.col("context_start") + 1).cast("int"), size).cast("string")
+    oriented = F.when(F.col("strand") == "-", revcomp(window)).otherwise(window)
+    # Unfolded from a one-element array, the window is computed once for all tests on it.
+    found = found.select("seq", "pieces", "piece", "ref_id", "pos", "strand", F.explode(F.array(oriented)).alias("_win"))
+    mine = _first_piece(index.k, v)
+    mm = F.when(mine, mismatches_up_to(F.col("seq"), F.col("_win"), v)) if v == 0 else F.when(
+        F.levenshtein("seq", "_win", v) >= 0, F.when(mine, mismatches_up_to(F.col("seq"), F.col("_win"), v))
+    )
+    found = found.select("seq", "ref_id", "pos", "strand", "_win", F.explode(F.array(mm.cast("int"))).alias("mm"))
+    found = found.filter(F.col("mm").isNotNull()).filter(~has_ambiguous(F.col("_win")))
+    return found.select(*HIT_COLUMNS)
+
+
+def _first_piece(k: int, v: int) -> Column:
+    """True where no earlier piece could have found the same window."""
+    size, pieces = F.length("seq"), F.col("pieces")
+    ok = F.lit(True)
     for earlier in range(v):
-        at = (F.lit(earlier) * F.floor(size / F.col("pieces"))).cast("int") + 1
-        mine, theirs = F.substring("seq", at, F.lit(k)), F.substring("_win", at, F.lit(k))
-        fewer = F.levenshtein(mine, theirs, 1)
+        at = (F.lit(earlier) * F.floor(size / pieces)).cast("int") + 1
         # More than one piece leaves a radius of at most one, where edit distance is exact.
-        radius = F.floor(F.lit(v) / F.col("pieces"))
-        reachable = (fewer >= 0) & (fewer <= radius)
-        found = found.filter((F.col("piece") <= earlier) | ~reachable)
-    return found.select("seq", "ref_id", "pos", "strand", F.col("mm").cast("int").alias("mm"))
+        distance = F.levenshtein(F.substring("seq", at, F.lit(k)), F.substring("_win", at, F.lit(k)), 1)
+        reachable = (distance >= 0) & (distance <= F.floor(F.lit(v) / pieces))
+        ok = ok & ((F.col("piece") <= earlier) | ~reachable)
+    return ok
 
 
 def best_hit(hits: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: the sample type where neither row nor defaults give one.
 DEFAULT_TYPE = "sRNA-Ext"
-OPTIONAL = ("type", "assembly_fasta", "assembly_gff")
 
 
 def blank_to_null(value: Column) -> Column:

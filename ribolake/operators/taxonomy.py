@@ -45,11 +45,14 @@ def kmer_lca_table(panel: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
 def read_kmers(sequences: DataFrame, k: int) -> DataFrame:
     """All unambiguous canonical k-mers of each sequence."""
     text = normalise(F.col("seq"))
-    rows = sequences.filter(F.length("seq") >= k).select(
-        "seq", F.explode(F.sequence(F.lit(1), F.length("seq") - k + 1)).alias("at")
+    both = sequences.filter(F.length("seq") >= k).select("seq", text.alias("_fwd"), revcomp(text).alias("_rev"))
+    size, width = F.length("_fwd"), F.lit(k)
+    # One pass over the read for each strand; a k-mer and its mirror are then cut out together.
+    mirrored = lambda at: F.struct(
+        F.substring("_fwd", at, width).alias("f"), F.substring("_rev", size - k + 2 - at, width).alias("r")
     )
-    kmer = F.substring(text, F.col("at"), F.lit(k))
-    return rows.select("seq", kmer.alias("kmer")).filter(~has_ambiguous(F.col("kmer"))).select("seq", canonical(F.col("kmer")).alias("kmer"))
+    rows = both.select("seq", F.inline(F.transform(F.sequence(F.lit(1), size - k + 1), mirrored)))
+    return rows.filter(~has_ambiguous(F.col("f"))).select("seq", F.least("f", "r").alias("kmer"))
 
 
 def _is_prefix(short: Column, long: Column) -> Column:

@@ -136,6 +136,19 @@ TABLES: dict[str, str] = {
     "dimhits": """
  select concat('S',cast(l_orderkey%4 as string)) sample, concat('ref',cast(l_partkey as string)) ref_id, cast(l_quantity as bigint) n
  from lineitem""",
+    # Accessions with a taxon; every second accession has none.
+    "acctax": "select concat('acc',cast(s_suppkey*2 as string)) accession, cast(1000+s_suppkey as int) taxid from supplier",
+    # Panel records of 13 biotypes and several species.
+    "nc": """
+ select concat(case p_partkey%4 when 0 then 'hsa-' when 1 then 'mmu-' when 2 then 'dme-' else 'ath-' end, replace(p_name,' ','-'),'-',cast(p_partkey as string)) ref_id,
+   concat('ncrna chromosome:x gene_biotype:', case p_partkey%13 when 0 then 'lncRNA' when 1 then 'miRNA' when 2 then 'misc_RNA' when 3 then 'Mt_rRNA'
+     when 4 then 'Mt_tRNA' when 5 then 'ribozyme' when 6 then 'rRNA' when 7 then 'scaRNA' when 8 then 'snoRNA' when 9 then 'snRNA'
+     when 10 then 'sRNA' when 11 then 'vault_RNA' else 'protein_coding' end, ' gene:', p_brand) description,
+   @dna(concat(p_name,p_type,p_brand,p_name)) seq,
+   case p_size%12 when 0 then 'Gene; rRNA;' when 1 then 'Gene; tRNA;' when 2 then 'Gene; miRNA;' when 3 then 'Gene; snRNA; snoRNA; CD-box;'
+     when 4 then 'Gene; snRNA; splicing;' when 5 then 'Gene; antisense;' when 6 then 'Gene; ribozyme;' when 7 then 'Cis-reg; leader;' when 8 then 'Gene; CRISPR;'
+     when 9 then 'Cis-reg; riboswitch;' when 10 then 'Cis-reg; IRES;' else 'Intron;' end kind
+ from part""",
     # Taxonomy: root 1, regions 10+, nations 100+, suppliers 1000+.
     "tax": """
  select cast(1000+s_suppkey as int) taxid, cast(100+n_nationkey as int) parent, 'species' rank, s_name name,
