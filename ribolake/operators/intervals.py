@@ -76,12 +76,18 @@ def merge_intervals(
     heads = starts.join(reach, cell).withColumn(
         "_reach", F.greatest("_reach", F.max("end").over(_before(cell, "start")))
     ).withColumn("_head", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + gap), F.col("start")))
-    last = heads.groupBy(*cell).agg(F.max("_head").alias("_last"))
+    # Islands as far as one tile shows them: rows before its first head continue an
+    # island of an earlier tile, so they form one row without a head.
+    local = stage(
+        heads.withColumn("_head", F.max("_head").over(_so_far(cell, "start")))
+        .groupBy(*cell, "_head").agg(F.max("end").alias("end"), F.sum("support").alias("support")),
+        "merge-islands",
+    )
+    last = local.groupBy(*cell).agg(F.max("_head").alias("_last"))
     last = last.select(*cell, F.max("_last").over(_before(keys, "tile")).alias("_carried"))
     return (
-        heads.join(last, cell)
-        .withColumn("_island", F.coalesce(F.max("_head").over(_so_far(cell, "start")), "_carried"))
-        .groupBy(*keys, F.col("_island").alias("start"))
+        local.join(last, cell)
+        .groupBy(*keys, F.coalesce("_head", "_carried").alias("start"))
         .agg(F.max("end").alias("end"), F.sum("support").alias("support"))
     )
 
