@@ -69,8 +69,7 @@ def _contig_annotation(t):
 
     contigs = t("ct").select("contig", "ctid", F.length("dna").cast("bigint").alias("size"))
     numbered = ranked(contigs, ["ctid"], name="rn").withColumn("rn", F.col("rn") - 1)
-    total = contigs.agg(F.count("*").alias("cnt"))
-    features = t("an").join(F.broadcast(total)).withColumn("rn", F.col("aid") % F.col("cnt"))
+    features = t("an").withColumn("rn", F.col("aid") % contigs.count())
     start = (F.col("aid") * 37) % F.col("size")
     return features.join(numbered.filter("size > 0"), "rn").select(
         numbered["contig"], start.alias("start"), F.least(start + 20 + F.col("aid") % 60, "size").alias("end"),

@@ -171,7 +171,10 @@ def qc_position(t):
     return _both(t, qc.position_profile)
 
 
-@query("reads", None)
+@query("reads", _STAGES + """,
+ pos_rows as (select stage, sample, qual, unnest(range(1, 1+length(seq))) p from st),
+ ph as (select stage, sample, p, ascii(substring(qual,p,1))-33 phred from pos_rows)
+ select stage, sample, cast(p as int) as position, cast(quantile_disc(phred,0.25) as int) lower, cast(quantile_disc(phred,0.5) as int) median, cast(quantile_disc(phred,0.75) as int) upper from ph group by all""")
 def qc_quartiles(t):
     return _both(t, qc.quality_quantiles)
 
