@@ -89,6 +89,9 @@ def test_report_modes(spark, case):
     for s, ref, p, strand, mm in want:
         best[s] = min(best.get(s, (9,)), (mm, ref, p, strand))
     assert rows(al.mismatch_join(reads, index, 1, "best1")) == {(s, b[1], b[2], b[3], b[0]) for s, b in best.items()}
+    for mode in ("best1", "best_strata"):
+        one, two = (rows(al.mismatch_join(reads, index, 1, mode, exact_first=x)) for x in (False, True))
+        assert one == two
     hits = al.mismatch_join(reads, index, 1)
     assert al.aligned(reads, hits).count() + al.unaligned(reads, hits).count() == reads.count()
 
@@ -174,3 +177,51 @@ def test_rrna_screen(spark):
     reads = spark.createDataFrame([("ACGTTGCAACGGATC",), (rc("ACGTTGCAACGGATC"),), ("T" * 20,), ("ACGT",)], "seq string")
     out = [r["seq"] for r in tx.rrna_screen(reads, panel, 12).filter("is_rrna").collect()]
     assert sorted(out) == sorted(["ACGTTGCAACGGATC", rc("ACGTTGCAACGGATC")])
+
+
+def test_assembly_branch(spark):
+    """One read on two places, half on each; the feature with most overlap wins."""
+    from ribolake.plans.assembly import assembly_based
+
+    rnd = random.Random(6)
+    unit, filler = ("".join(rnd.choice("ACGT") for _ in range(n)) for n in (20, 50))
+    contigs = spark.createDataFrame([("k", unit + filler + unit)], "ref_id string, seq string")
+    annotation = spark.createDataFrame(
+        [("k", 0, 25, "CDS", "+", "f1"), ("k", 15, 40, "gene", "+", "f2"), ("k", 85, 95, "gene", "-", "f3")],
+        "contig string, start bigint, end bigint, ftype string, strand string, name string",
+    )
+    collapsed = spark.createDataFrame([("S", unit, 6), ("S", filler, 2)], "sample string, seq string, n bigint")
+    out = assembly_based(collapsed, contigs, annotation, v=1, max_length=40)
+    counts = {r["feature"]: (r["raw"], r["weighted"]) for r in out["counts"].collect()}
+    assert counts == {"f1": (6, 3.0), "f3": (6, 3.0), "f2": (2, 2.0)}
+    assert [(r["length"], r["reads"]) for r in out["lengths"].collect()] == [(20, 6.0)]
+
+
+def test_preprocess_and_classification_plans(spark):
+    from ribolake.plans.classification import host_specific, nonhost_specific
+    from ribolake.plans.preprocessing import preprocess
+
+    rnd = random.Random(12)
+    base = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    host, trna, rrna, other = base(200), base(80), base(80), base(60)
+    adapter = "TGGAATTCTCGG"
+    inserts = [host[10:40], host[50:75], trna[5:35], rrna[10:40], other[:30], other[:30], "ACG"]
+    raw = spark.createDataFrame(
+        [(s, f"{s}{i}", x + adapter, "I" * (len(x) + 12)) for s in ("A", "B") for i, x in enumerate(inserts)],
+        "sample string, read_id string, seq string, qual string",
+    )
+    refs = spark.createDataFrame([("h", "genome", host)], "ref_id string, panel string, seq string")
+    pre = preprocess(raw, refs, ("genome",))
+    got = {(r["sample"], r["category"]): r["value"] for r in pre["summary"].collect()}
+    assert got == {(s, c): n for s in "AB" for c, n in (("input", 7), ("trimmed", 6), ("host", 2), ("non_host", 4))}
+    samples = raw.select("sample").distinct()
+    panels = spark.createDataFrame([("m", "M", host[:45]), ("t", "T", "A" * 30), ("r", "R", "C" * 30), ("o", "O", "G" * 30)], "ref_id string, panel string, seq string")
+    out = host_specific(pre["host"], panels, ("M", "T", "R", "O"), samples)["summary"].filter("sample = 'A'").collect()
+    assert {r["category"]: r["value"] for r in out}["human_miRNA"] == 1 and {r["category"]: r["value"] for r in out}["unknown_after_all"] == 1
+    panels = spark.createDataFrame([("t", "tRNA", trna)], "ref_id string, panel string, seq string")
+    taxonomy = spark.createDataFrame([(1, "root", "root", [1]), (7, "s", "x", [1, 7])], "taxid int, rank string, name string, lineage array<int>")
+    non = nonhost_specific(pre["non_host"], panels, spark.createDataFrame([("r", rrna, 7)], "ref_id string, seq string, taxid int"), samples, taxonomy)
+    got = {r["category"]: (r["value"], r["unit"]) for r in non["summary"].filter("sample = 'B'").collect()}
+    assert got["rrna_reads"] == (1, "reads") and got["trna_like_reads"] == (1, "reads") and got["unknown_sequences"] == (1, "sequences")
+    assert [(r["seq"], r["n"]) for r in non["unknown"].filter("sample = 'A'").collect()] == [(other[:30], 2)]
+    assert {r["taxid"]: r["clade_reads"] for r in non["clades"].filter("sample = 'A'").collect()} == {1: 1, 7: 1}
