@@ -183,12 +183,12 @@ def all_hits(
     oriented = F.when(F.col("strand") == "-", revcomp(window)).otherwise(window)
     # Unfolded from a one-element array, the window is computed once for all tests on it.
     found = found.select("seq", "pieces", "piece", "ref_id", "pos", "strand", F.explode(F.array(oriented)).alias("_win"))
-    mine = _first_piece(index.k, v)
-    mm = F.when(mine, mismatches_up_to(F.col("seq"), F.col("_win"), v)) if v == 0 else F.when(
-        F.levenshtein("seq", "_win", v) >= 0, F.when(mine, mismatches_up_to(F.col("seq"), F.col("_win"), v))
-    )
-    found = found.select("seq", "ref_id", "pos", "strand", "_win", F.explode(F.array(mm.cast("int"))).alias("mm"))
-    found = found.filter(F.col("mm").isNotNull()).filter(~has_ambiguous(F.col("_win")))
+    # One expression, cheapest test first: most candidates fail the banded distance.
+    close = F.levenshtein("seq", "_win", v) >= 0 if v > 0 else F.col("seq") == F.col("_win")
+    valid = _first_piece(index.k, v) & ~has_ambiguous(F.col("_win"))
+    mm = F.when(close, F.when(valid, mismatches_up_to(F.col("seq"), F.col("_win"), v)))
+    found = found.select("seq", "ref_id", "pos", "strand", F.explode(F.array(mm.cast("int"))).alias("mm"))
+    found = found.filter(F.col("mm").isNotNull())
     return found.select(*HIT_COLUMNS)
 
 
