@@ -9,7 +9,6 @@ from ..operators import cascade as cs
 from ..operators import counts as ct
 from ..operators import intervals as iv
 from ..operators import taxonomy as tx
-from ..operators.staging import stage
 from .catalog import query
 
 HOST_ORDER = ("host_miRNA", "host_tRNA", "host_rRNA", "host_other")
