@@ -13,9 +13,10 @@ order of the stream is the order of the partitions read, so it follows the input
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,40 +25,68 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import join_small, stage
 
-# The characters that Unicode counts as white space; before a run of them the
-# byte-level splitting rule always ends a piece.
-_BLANK = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
-_CACHE_WORDS = 200_000
 _SLICE_ROWS = 256
 
 
 class Encoder:
-    """Token ids of texts, each distinct chunk of a text encoded once while it is remembered."""
+    """Token ids of texts under a byte-level vocabulary file of the ``tokenizers`` library.
+
+    The vocabulary runs in ``tiktoken``, which gives the same ids in a third of the time.
+    The first texts of every encoder are compared with ``tokenizers`` itself, and texts
+    that ``tiktoken`` cannot split go to ``tokenizers``.
+    """
+
+    CHECKED = 4
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
+        self.slow = Tokenizer.from_file(path)
+        self.slow.encode_special_tokens = True
+        special = {t.content for t in self.slow.get_added_tokens_decoder().values()}
+        to_byte = _bytes_of_signs()
+        ranks = {
+            bytes(to_byte[c] for c in token): i for token, i in self.slow.get_vocab().items() if token not in special
+        }
+        self.fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        small = self.slow.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = ("<u2", "H") if small else ("<u4", "I")
+        self.checked = 0
+
+    def _slow_ids(self, text: str) -> list[int]:
+        return self.slow.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [_CHUNK.findall(t) for t in texts]
-        new = list({c for parts in chunks for c in parts if c not in self.known})
-        if len(self.known) + len(new) > _CACHE_WORDS:
-            self.known.clear()
-            new = list({c for parts in chunks for c in parts})
-        for begin in range(0, len(new), 10_000):
-            part = new[begin : begin + 10_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, self.dtype).tobytes()
-        look = self.known.__getitem__
-        return [b"".join(map(look, parts)) for parts in chunks]
+        out = []
+        for text in texts:
+            try:
+                ids = self.fast.encode_ordinary(text)
+            except (ValueError, RuntimeError):
+                ids = self._slow_ids(text)
+            if self.checked < self.CHECKED:
+                self.checked += 1
+                if ids != self._slow_ids(text):
+                    raise ValueError("tiktoken and tokenizers disagree on this vocabulary")
+            out.append(array(self.code, ids).tobytes())
+        return out
+
+
+def _bytes_of_signs() -> dict[str, int]:
+    """The printable sign that stands for each byte in byte-level vocabularies, reversed."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, reused by its tasks."""
+    return Encoder(path)
 
 
 TOKENS = "doc_id bigint, part int, local bigint, n_tokens bigint, ids binary"
@@ -67,12 +96,12 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     """Ids of every document and its offset inside its partition; to be written before use."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, encoder = TaskContext.get().partitionId(), 0, Encoder(tokenizer)
-        end = np.array([end_id], encoder.dtype).tobytes()
+        part, at, own = TaskContext.get().partitionId(), 0, encoder(tokenizer)
+        end = np.array([end_id], own.dtype).tobytes()
         for whole in batches:
             for begin in range(0, whole.num_rows, _SLICE_ROWS):
                 batch = whole.slice(begin, _SLICE_ROWS)
-                ids = [x + end for x in encoder.encode(batch.column("text").to_pylist())]
+                ids = [x + end for x in own.encode(batch.column("text").to_pylist())]
                 counts = np.array([len(x) for x in ids], np.int64) // len(end)
                 local = at + np.cumsum(counts) - counts
                 at += int(counts.sum())
