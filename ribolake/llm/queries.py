@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, sharding
-from .common import documents
+from . import mixing, ngram_join, packing, pii, quality, rules, sharding
+from .common import documents, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -16,10 +16,28 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.found_pii(documents(spark, sf_dir)))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(documents(spark, sf_dir), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(documents(spark, sf_dir))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(documents(spark, sf_dir), n=3, share=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), tokenizer_path())
 
@@ -51,5 +69,5 @@ select doc_id, cast(size as bigint) size, source_size, target,
 from p
 """
 
-QUERIES = {f.__name__: f for f in (op4_hilbert_shards, op8_concat_and_cut, op9_water_filling)}
-ORACLE = {"op9_water_filling": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op8_concat_and_cut, op9_water_filling)}
+ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op9_water_filling": OP9_SQL}

@@ -146,9 +146,9 @@ def sharded(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataFrame:
     """Shard and slot of every document, with its size, checksum and place on the curve."""
     rows = stage(described(docs), "shard-rows")
     run = stage(running_totals(on_curve(rows, bits=bits), ["curve", "doc_id", "size", "text_crc32"], "size"), "shard-run")
-    total = run.agg(F.sum("size").alias("total"))  # one row
-    cut = run.join(F.broadcast(total)).withColumn(
-        "shard", F.expr(f"least(({2 * shards} * before + {shards} * size) div (2 * total), {shards - 1})").cast("int")
+    total = run.agg(F.coalesce(F.sum("size"), F.lit(1))).first()[0]
+    cut = run.withColumn(
+        "shard", F.expr(f"least(({2 * shards} * before + {shards} * size) div {2 * total}, {shards - 1})").cast("int")
     )
     first = cut.groupBy("shard").agg(F.min("rank").alias("first"))  # one row a shard
     return cut.join(F.broadcast(first), "shard").select(
