@@ -15,12 +15,13 @@ other words and hence hardly ever makes a signature of its own.
 *Pivots.* Within a signature every class is verified against one pivot, the class that
 shares most with others, so a group of copies costs links in proportion to its size.
 
-*R-tree.* Where the pivot links left members of a signature unconnected, the members are
-points (token counts in fixed groups) in a packed R-tree. A page can be skipped if the
+*R-tree.* What candidate pairs connect, linked or not, is a family. Where the pivots
+left a family in several components, its members are points (token counts in fixed
+groups) in a packed R-tree, and the members outside the largest component query it. A page is skipped if the
 sum of the smaller coordinates of the query and the page's upper corner is below the
 overlap that a link needs. Surviving pairs that are not yet connected are verified on
-the whole sets. Signatures with much content are cut into chunks, one task for every two
-chunks, so no task holds more than two of them; equal member lists are searched once.
+the whole sets. Large families are cut into chunks, one task for a chunk of queries and
+a chunk of the index, so no task holds more than two of them.
 
 Every bound is exact, no candidate is dropped or capped. Classes are told apart by 64
 bits of hash over all tokens and the set size.
@@ -214,63 +215,79 @@ def search_pages(query: np.ndarray, size: int, tree, vectors: np.ndarray, sizes:
     return points[(100 + share) * common >= share * (size + sizes[points])]
 
 
-def linked_in(members: pd.DataFrame, share: int) -> list[tuple[int, int]]:
-    """New links between unconnected members of one signature (or of two of its chunks)."""
-    tokens = members["tokens"].tolist()
-    sizes = members["n"].to_numpy(np.int64)
-    vectors = np.stack(members["vector"].tolist()).astype(np.int32)
-    names = members["cls"].to_numpy(np.int64)
-    _, root = np.unique(members["root"].to_numpy(np.int64), return_inverse=True)
-    main = np.bincount(root).argmax()
+def linked_in(index: pd.DataFrame, queries: pd.DataFrame, share: int) -> list[tuple[int, int]]:
+    """Links from ``queries`` to members of ``index`` that are not yet connected with them."""
+    tokens, sizes = index["tokens"].tolist(), index["n"].to_numpy(np.int64)
+    vectors = np.stack(index["vector"].tolist()).astype(np.int32)
+    names = index["cls"].to_numpy(np.int64)
+    _, roots = np.unique(np.concatenate([index["root"], queries["root"]]).astype(np.int64), return_inverse=True)
+    root, query_root = roots[: len(index)], roots[len(index) :]
     tree = pages_of(vectors, sizes)
     links = []
-    for q in np.flatnonzero(root != main):
-        points = search_pages(vectors[q], sizes[q], tree, vectors, sizes, share)
-        points = points[root[points] != root[q]]
+    for i, (name, own, size, vector) in enumerate(zip(queries["cls"], queries["tokens"], queries["n"], queries["vector"])):
+        points = search_pages(np.asarray(vector), size, tree, vectors, sizes, share)
+        points = points[root[points] != query_root[i]]
         if not len(points):
             continue
         run = np.concatenate([tokens[p] for p in points])
         begin = np.concatenate(([0], np.cumsum(sizes[points])[:-1]))
-        at = np.searchsorted(tokens[q], run)
-        hit = tokens[q][np.minimum(at, sizes[q] - 1)] == run
+        hit = own[np.minimum(np.searchsorted(own, run), size - 1)] == run
         common = np.add.reduceat(hit.astype(np.int64), begin)
-        for p in points[(100 + share) * common >= share * (sizes[q] + sizes[points])]:
-            if root[p] != root[q]:
-                links.append((names[q], names[p]))
-                root[root == root[q]] = root[p]
+        for p in points[(100 + share) * common >= share * (size + sizes[points])]:
+            if root[p] != query_root[i]:
+                links.append((name, names[p]))
+                old = query_root[i]
+                root[root == old] = root[p]
+                query_root[query_root == old] = root[p]
     return links
 
 
-def residual_links(members: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Links inside signatures whose members the pivots left in several components."""
-    known = members.join(roots, members["cls"] == roots["node"], "left").select(
-        "sig", "cls", F.coalesce("root", "cls").alias("root")
-    ).join(sets.select("cls", "n"), "cls")
-    lists = known.groupBy("sig").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("list"), F.min("root").alias("low"),
-        F.max("root").alias("high"), F.sum("n").alias("total"),
-    ).filter("size > 2 and low < high")
+def residual_links(pairs: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Links inside families whose members the pivots left in several components.
+
+    A family is what ``pairs``, verified or not, connect. Its members outside the largest
+    component are the queries, all members the index; both are cut into chunks by their
+    number of tokens, and every chunk of queries meets every chunk of the index.
+    """
+    families = components(pairs).select(F.col("node").alias("cls"), F.col("root").alias("family"))
+    known = stage(
+        families.join(roots, families["cls"] == roots["node"], "left")
+        .select("family", "cls", F.coalesce("root", "cls").alias("root")).join(sets.select("cls", "n"), "cls"),
+        "join-families",
+    )
+    parts = known.groupBy("family", "root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     open_ = stage(
-        lists.groupBy("size", "list").agg(F.min("sig").alias("sig"), F.max("total").alias("total"))
-        .select("sig", "total", F.ceil(F.col("total") / CHUNK_TOKENS).cast("int").alias("chunks")),
-        "join-open",
+        parts.groupBy("family").agg(
+            F.max(F.struct("size", "total", "root")).alias("main"), F.sum("total").alias("total"), F.sum("size").alias("size")
+        ).filter("size > 2 and total > main.total").select(
+            "family", F.col("main.root").alias("main"),
+            F.ceil(F.col("total") / CHUNK_TOKENS).cast("int").alias("chunks"),
+            F.ceil((F.col("total") - F.col("main.total")) / CHUNK_TOKENS).cast("int").alias("query_chunks"),
+            (F.col("total") + F.col("main.total")).alias("work"),
+        ), "join-open",
     )
-    count, total = open_.agg(F.count("*"), F.coalesce(F.sum(F.col("total") * F.col("chunks")), F.lit(0))).first()
+    count, work = open_.agg(F.count("*"), F.coalesce(F.sum("work"), F.lit(0))).first()
     schema = "a bigint, b bigint"
     if not count:
-        return members.sparkSession.createDataFrame([], schema)
-    tasks = max(1, total // (4 * CHUNK_TOKENS) + 1)
-    own = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).cast("int")
-    rows = join_small(known, open_, ["sig"], count, 24).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    ).select("sig", "cls", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    keyed = rows.join(sets, "cls").withColumn("task", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(tasks)).cast("int"))
+        return pairs.sparkSession.createDataFrame([], schema)
+    members = join_small(known.drop("n"), open_, ["family"], count, 32)
+    place = lambda salt, n: F.pmod(F.xxhash64("cls", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    index = members.select("family", "cls", "root", F.lit(False).alias("query"), place(1, "chunks").alias("i"), every("query_chunks").alias("j"))
+    queries = members.filter("root <> main").select(
+        "family", "cls", "root", F.lit(True).alias("query"), every("chunks").alias("i"), place(2, "query_chunks").alias("j")
+    )
+    tasks = max(1, work // (2 * CHUNK_TOKENS) + 1)
+    keyed = index.union(queries).join(sets, "cls").withColumn(
+        "task", F.pmod(F.xxhash64("family", "i", "j"), F.lit(tasks)).cast("int")
+    )
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         links = []
-        for _, group in part.groupby(["sig", "i", "j"], sort=False):
-            if len(group) > 1:
-                links += linked_in(group, share)
+        for _, group in part.groupby(["family", "i", "j"], sort=False):
+            asked = group["query"].to_numpy(bool)
+            if asked.any() and not asked.all():
+                links += linked_in(group[~asked], group[asked], share)
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     return keyed.groupBy("task").applyInPandas(run, schema)
@@ -305,7 +322,7 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     sets = stage(sets_of(docs, wanted, wanted.count(), n), "join-sets")
     links = stage(verified(pairs, sets, share), "join-links")
     roots = stage(components(links), "join-roots")
-    more = stage(residual_links(members, roots, sets, share), "join-more")
+    more = stage(residual_links(pairs, roots, sets, share), "join-more")
     if more.limit(1).count():
         bridges = more.select("a", "b").union(roots.filter("node <> root").select("node", "root"))
         roots = stage(components(bridges), "join-roots")
