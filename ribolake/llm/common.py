@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ribolake.operators.staging import join_side, stage
 
-__all__ = ["SPACE", "WORD", "count_words", "documents", "join_small", "source_key", "stage", "table", "text_of", "words"]
+__all__ = ["SPACE", "WORD", "bound", "count_words", "documents", "join_small", "source_key", "stage", "table", "text_of", "words"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -38,6 +38,11 @@ def count_words(text: Column) -> Column:
     return F.when(text.rlike(WORD), pieces - ends).otherwise(0).cast("bigint")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def source_key(column: Column) -> Column:
     """A key that is never null and sorts by code point, null last."""
     return F.when(column.isNull(), F.lit("b")).otherwise(F.concat(F.lit("a"), column))

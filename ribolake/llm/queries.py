@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, ngram_join, packing, pii, quality, rules, sharding
+from . import ann, licenses, lines, mixing, ngram_join, packing, pii, quality, rules, sharding
 from .common import documents, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,16 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(documents(spark, sf_dir), n=3, share=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
+def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), tokenizer_path())
 
@@ -48,6 +58,10 @@ def op9_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir))
+
+
 OP9_SQL = r"""
 with d as (
   select doc_id, case when source is null then 'b' else 'a' || source end skey,
@@ -69,5 +83,5 @@ select doc_id, cast(size as bigint) size, source_size, target,
 from p
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op8_concat_and_cut, op9_water_filling)}
-ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op9_water_filling": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op6_line_runs, op7_prefix_forest, op8_concat_and_cut, op9_water_filling, op10_licenses)}
+ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL}

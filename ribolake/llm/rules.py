@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import join_small, source_key, stage, text_of, words
+from .common import bound, join_small, source_key, stage, text_of, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -41,11 +41,6 @@ ALPHA = 0.01
 DELTA = 0.05
 
 
-def bound(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` reads it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def repeated_words(ws: Column) -> Column:
     """Words inside ``WINDOW``-word windows that occur twice or more, each word once."""
     windows = F.transform(
