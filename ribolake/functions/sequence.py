@@ -46,15 +46,6 @@ def hamming(a: Column, b: Column) -> Column:
     return F.when(F.length(a) > 0, F.size(differs)).otherwise(0)
 
 
-def within_one(a: Column, b: Column) -> Column:
-    """Equal length and at most one substitution.
-
-    For strings of equal length an edit distance of at most one can only be a
-    substitution, so the code-generated edit distance gives the Hamming test.
-    """
-    return F.levenshtein(a, b, 1) >= 0
-
-
 def mismatches_up_to(a: Column, b: Column, limit: int) -> Column:
     """Substitutions between two strings of equal length, or null above ``limit``.
 
@@ -93,6 +84,21 @@ def without_adapter(seq: Column, adapter: str, min_overlap: int = 4) -> Column:
     return F.regexp_replace(seq, rf"{adapter}.*\z|{adapter[:min_overlap]}{tail}\z", "")
 
 
+def kept_length(seq: Column, adapter: Column, min_overlap: int = 4) -> Column:
+    """Bases before a 3' adapter that differs from row to row; null without adapter.
+
+    The same rule as ``without_adapter``.
+    """
+    whole = F.call_function("instr", seq, adapter)
+    ends = F.filter(
+        F.sequence(F.least(F.length(adapter) - 1, F.length(seq)), F.lit(min_overlap), F.lit(-1)),
+        lambda n: F.endswith(seq, F.substring(adapter, F.lit(1), n)),
+    )
+    possible = F.least(F.length(adapter) - 1, F.length(seq)) >= min_overlap
+    partial = F.when(possible, F.coalesce(F.get(ends, F.lit(0)), F.lit(0))).otherwise(0)
+    return F.when(whole > 0, whole - 1).when(adapter.isNotNull(), F.length(seq) - partial)
+
+
 def two_decimals(value: Column) -> Column:
     """Text with two decimals, the number format of the summary files."""
     return F.format_string("%.2f", value.cast("double"))

@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequence import has_ambiguous, mismatches_up_to, normalise, revcomp
-from .staging import BROADCAST_ROWS, join_side, spread, stage
+from .staging import BROADCAST_ROWS, join_side, stage
 
 HIT_COLUMNS = ("seq", "ref_id", "pos", "strand", "mm")
+# A reference is named by its panel and its id in it; tables without panels have one.
+REFERENCE = ("panel", "ref_id")
 
 
 @dataclass(frozen=True)
@@ -31,13 +33,26 @@ class PanelIndex:
     tile: int
     seed_rows: int
     tile_rows: int
+    has_panel: bool = False
+
+
+def with_panel(references: DataFrame) -> DataFrame:
+    """References with a ``panel``: their own, or an empty name."""
+    return references if "panel" in references.columns else references.withColumn("panel", F.lit(""))
+
+
+def check_references(references: DataFrame) -> None:
+    """Raise where a panel names two references alike."""
+    twice = references.groupBy(*REFERENCE).count().filter("count > 1").orderBy(*REFERENCE).first()
+    if twice:
+        raise ValueError(f"reference {twice['ref_id']!r} occurs {twice['count']} times in panel {twice['panel']!r}")
 
 
 def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
     """Cut each reference into tiles with ``margin`` bases of context on both sides."""
     text = F.translate(normalise(F.col("seq")), "-. \t", "")
-    parts = panel.select("ref_id", text.alias("_seq")).filter("length(_seq) > 0").select(
-        "ref_id",
+    parts = with_panel(panel).select(*REFERENCE, text.alias("_seq")).filter("length(_seq) > 0").select(
+        *REFERENCE,
         F.length("_seq").cast("bigint").alias("ref_len"),
         F.regexp_extract_all("_seq", F.lit(f".{{1,{tile}}}"), F.lit(0)).alias("_parts"),
     )
@@ -50,8 +65,8 @@ def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
             F.coalesce(F.substring(F.get(F.col("_parts"), i + 1), 1, margin), F.lit("")).alias("right"),
         ),
     )
-    return parts.select("ref_id", "ref_len", F.explode(tiles).alias("t")).select(
-        "ref_id", "ref_len", F.col("t.tile").alias("tile"),
+    return parts.select(*REFERENCE, "ref_len", F.explode(tiles).alias("t")).select(
+        *REFERENCE, "ref_len", F.col("t.tile").alias("tile"),
         (F.col("t.tile") * tile - F.length("t.left")).alias("context_start"),
         # As bytes: a slice of a binary value costs its own length, a substring of text
         # is sought from the beginning.
@@ -60,20 +75,20 @@ def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
 
 
 def tile_seeds(tiles: DataFrame, k: int, tile: int, strands: str = "both") -> DataFrame:
-    """k-mers that start inside each tile: (kmer, ref_id, tile, at, strand)."""
+    """k-mers that start inside each tile: (kmer, panel, ref_id, tile, at, strand)."""
     begin = F.col("tile") * tile
     end = F.least(begin + tile, F.col("ref_len") - k + 1)
     rows = tiles.filter(end > begin).select(
-        "ref_id", "tile", "context", "context_start", F.explode(F.sequence(begin, end - 1)).alias("at")
+        *REFERENCE, "tile", "context", "context_start", F.explode(F.sequence(begin, end - 1)).alias("at")
     ).select(
-        "ref_id", "tile", "at",
+        *REFERENCE, "tile", "at",
         F.substring("context", (F.col("at") - F.col("context_start") + 1).cast("int"), F.lit(k)).cast("string").alias("kmer"),
     ).filter(~has_ambiguous(F.col("kmer")))
     sides = [F.struct(F.lit("+").alias("strand"), F.col("kmer").alias("kmer"))]
     if strands == "both":
         sides.append(F.struct(F.lit("-").alias("strand"), revcomp(F.col("kmer")).alias("kmer")))
-    return rows.select("ref_id", "tile", "at", F.explode(F.array(*sides)).alias("s")).select(
-        F.col("s.kmer").alias("kmer"), "ref_id", "tile", "at", F.col("s.strand").alias("strand")
+    return rows.select(*REFERENCE, "tile", "at", F.explode(F.array(*sides)).alias("s")).select(
+        F.col("s.kmer").alias("kmer"), *REFERENCE, "tile", "at", F.col("s.strand").alias("strand")
     )
 
 
@@ -90,17 +105,19 @@ def build_index(
     strands: str = "both",
     tile: int = 512,
 ) -> PanelIndex:
-    """Index a panel (ref_id, seq) once for any number of samples and joins.
+    """Index references (ref_id, seq and, for several panels, panel) once for any number of joins.
 
-    ``k`` defaults to a length that fits the panel's size; it may not exceed the
+    An id may occur in several panels but only once in each; with panels, hits carry the
+    panel they are on. ``k`` defaults to a length that fits the panel's size; it may not exceed the
     shortest sequence that will be aligned.
     """
     tile = max(tile, max_length)
+    check_references(with_panel(panel))
     tiles = stage(panel_tiles(panel, tile, max_length), "tiles")
     size = tiles.agg(F.sum(F.length("context")).alias("bases"), F.count("*").alias("rows")).first()
     k = k or seed_length(size["bases"] or 0, min_length)
     seeds = stage(tile_seeds(tiles, k, tile, strands), "seeds")
-    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"])
+    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"], "panel" in panel.columns)
 
 
 def _edit_list(k: int, wanted: bool) -> Column:
@@ -122,7 +139,7 @@ def _edited(rows: DataFrame, k: int, radius: Column, step: int, after: Column) -
 
 
 def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: int) -> DataFrame:
-    """The k-mers each sequence asks for, with piece number and offset.
+    """The k-mers each sequence asks for, in upper case and as DNA, with piece number and offset.
 
     A sequence outside the length limits is an error, never a silent miss.
     """
@@ -138,7 +155,8 @@ def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: i
     def cut(piece: Column) -> Column:
         offset = (piece * F.floor(size / F.col("pieces"))).cast("int")
         return F.struct(
-            piece.alias("piece"), offset.alias("offset"), F.substring("seq", offset + 1, F.lit(k)).alias("kmer")
+            piece.alias("piece"), offset.alias("offset"),
+            F.substring(normalise(F.col("seq")), offset + 1, F.lit(k)).alias("kmer"),
         )
 
     # Unfolding structs (not positions) makes each piece a computed column, so the
@@ -178,37 +196,39 @@ def all_hits(
         F.col("at") - size + F.col("offset") + k
     )
     found = probes.join(seeds, "kmer").withColumn("pos", start).filter("pos >= 0")
-    found = found.join(tiles, ["ref_id", "tile"]).filter(F.col("pos") + size <= F.col("ref_len"))
+    found = found.join(tiles, [*REFERENCE, "tile"]).filter(F.col("pos") + size <= F.col("ref_len"))
     window = F.substring("context", (F.col("pos") - F.col("context_start") + 1).cast("int"), size).cast("string")
     oriented = F.when(F.col("strand") == "-", revcomp(window)).otherwise(window)
-    # Unfolded from a one-element array, the window is computed once for all tests on it.
-    found = found.select("seq", "pieces", "piece", "ref_id", "pos", "strand", F.explode(F.array(oriented)).alias("_win"))
+    # Unfolded from a one-element array, window and read are computed once for all tests on them.
+    both = F.struct(oriented.alias("_win"), normalise(F.col("seq")).alias("_read"))
+    found = found.select("seq", "pieces", "piece", *REFERENCE, "pos", "strand", F.inline(F.array(both)))
     # One expression, cheapest test first: most candidates fail the banded distance.
-    close = F.levenshtein("seq", "_win", v) >= 0 if v > 0 else F.col("seq") == F.col("_win")
+    close = F.levenshtein("_read", "_win", v) >= 0 if v > 0 else F.col("_read") == F.col("_win")
     valid = _first_piece(index.k, v) & ~has_ambiguous(F.col("_win"))
-    mm = F.when(close, F.when(valid, mismatches_up_to(F.col("seq"), F.col("_win"), v)))
-    found = found.select("seq", "ref_id", "pos", "strand", F.explode(F.array(mm.cast("int"))).alias("mm"))
+    mm = F.when(close, F.when(valid, mismatches_up_to(F.col("_read"), F.col("_win"), v)))
+    found = found.select("seq", *REFERENCE, "pos", "strand", F.explode(F.array(mm.cast("int"))).alias("mm"))
     found = found.filter(F.col("mm").isNotNull())
-    return found.select(*HIT_COLUMNS)
+    return found.select(*HIT_COLUMNS, *(["panel"] if index.has_panel else []))
 
 
 def _first_piece(k: int, v: int) -> Column:
     """True where no earlier piece could have found the same window."""
-    size, pieces = F.length("seq"), F.col("pieces")
+    size, pieces = F.length("_read"), F.col("pieces")
     ok = F.lit(True)
     for earlier in range(v):
         at = (F.lit(earlier) * F.floor(size / pieces)).cast("int") + 1
         # More than one piece leaves a radius of at most one, where edit distance is exact.
-        distance = F.levenshtein(F.substring("seq", at, F.lit(k)), F.substring("_win", at, F.lit(k)), 1)
+        distance = F.levenshtein(F.substring("_read", at, F.lit(k)), F.substring("_win", at, F.lit(k)), 1)
         reachable = (distance >= 0) & (distance <= F.floor(F.lit(v) / pieces))
         ok = ok & ((F.col("piece") <= earlier) | ~reachable)
     return ok
 
 
 def best_hit(hits: DataFrame) -> DataFrame:
-    """One hit a sequence: fewest mismatches, then reference, position, strand."""
-    first = F.min(F.struct("mm", "ref_id", "pos", "strand")).alias("_h")
-    return hits.groupBy("seq").agg(first).select("seq", "_h.ref_id", "_h.pos", "_h.strand", "_h.mm")
+    """One hit a sequence: fewest mismatches, then reference, position, strand, panel."""
+    order = [c for c in ("mm", "ref_id", "pos", "strand", "panel") if c in hits.columns]
+    first = F.min(F.struct(*order)).alias("_h")
+    return hits.groupBy("seq").agg(first).select("seq", *[f"_h.{c}" for c in hits.columns if c != "seq"])
 
 
 def best_stratum(hits: DataFrame) -> DataFrame:
@@ -226,7 +246,7 @@ def mismatch_join(
     broadcast_rows: int = BROADCAST_ROWS,
     exact_first: bool = False,
 ) -> DataFrame:
-    """Align sequences to a panel.
+    """Align sequences to indexed references; case and U or T do not matter, ``seq`` stays as given.
 
     ``report`` is ``all`` (every hit within ``v``), ``best1`` (one best hit) or
     ``best_strata`` (all hits of the best class). Identical reads are aligned once.
@@ -236,7 +256,7 @@ def mismatch_join(
     it pays where most reads match exactly, since an exact search asks for one seed a
     read and a search with mismatches for up to dozens on short reads.
     """
-    unique = spread(reads.select("seq").distinct(), "seq")
+    unique = reads.select("seq").distinct()
     if report == "all":
         return all_hits(unique, index, v, min_length, broadcast_rows)
     if report not in ("best1", "best_strata"):

@@ -28,19 +28,20 @@ def hit_weights(hits: DataFrame, max_mismatches: int | None = None) -> DataFrame
 
 
 def fractional_counts(collapsed: DataFrame, hits: DataFrame) -> DataFrame:
-    """Reads per sample and reference; a read with h hits adds 1/h to each.
+    """Reads per sample and reference, and panel if hits have one; a read with h hits adds 1/h to each.
 
     Hits of one sequence on one reference are added up before samples are joined in.
     """
-    share = hit_weights(hits).groupBy("seq", "ref_id").agg(F.sum("weight").alias("share"))
-    return collapsed.join(share, "seq").groupBy("sample", "ref_id").agg(
+    keys = [c for c in ("panel", "ref_id") if c in hits.columns]
+    share = hit_weights(hits).groupBy("seq", *keys).agg(F.sum("weight").alias("share"))
+    return collapsed.join(share, "seq").groupBy("sample", *keys).agg(
         F.sum(F.col("n") * F.col("share")).alias("reads")
     )
 
 
-def reference_counts(collapsed: DataFrame, best_hits: DataFrame) -> DataFrame:
+def reference_counts(collapsed: DataFrame, best_hits: DataFrame, keys: Sequence[str] = ("ref_id",)) -> DataFrame:
     """Reads per sample and reference from one best hit a sequence."""
-    return collapsed.join(best_hits.select("seq", "ref_id"), "seq").groupBy("sample", "ref_id").agg(
+    return collapsed.join(best_hits.select("seq", *keys), "seq").groupBy("sample", *keys).agg(
         F.sum("n").alias("reads")
     )
 

@@ -119,22 +119,23 @@ def overlap_count(
 
     No pair is formed. An interval overlaps [s, e) unless it starts at or after e or
     ends at or before s, so the count is (starts before e) - (ends up to s), read
-    from two running sums over positions.
+    from two running sums over positions. Two empty intervals at one position do both
+    and are counted once too often among the ends, so those are added again.
     """
     keys = list(keys)
     cell = [*keys, "tile"]
     amount = F.col(weight) if weight else F.lit(1)
     zero = F.lit(0)
 
-    def points(df: DataFrame, position: str, opened: Column, closed: Column) -> DataFrame:
-        return df.select(*keys, F.col(position).alias("pos"), opened.alias("opened"), closed.alias("closed"))
+    def points(df: DataFrame, position: str, opened: Column, closed: Column, empty: Column = zero) -> DataFrame:
+        return df.select(*keys, F.col(position).alias("pos"), opened.alias("opened"), closed.alias("closed"), empty.alias("empty"))
 
     marks = stage(
         points(b, "start", amount, zero)
-        .unionByName(points(b, "end", zero, amount))
+        .unionByName(points(b, "end", zero, amount, F.when(F.col("start") == F.col("end"), amount).otherwise(0)))
         .unionByName(points(a, "start", zero, zero))
         .unionByName(points(a, "end", zero, zero))
-        .groupBy(*keys, "pos").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"))
+        .groupBy(*keys, "pos").agg(*[F.sum(c).alias(c) for c in ("opened", "closed", "empty")])
         .withColumn("tile", _tile("pos", tile)),
         "overlap-marks",
     )
@@ -148,13 +149,14 @@ def overlap_count(
     running = marks.join(sums, cell).select(
         *keys, "pos",
         (F.col("_o") + F.sum("opened").over(_so_far(cell, "pos")) - F.col("opened")).alias("_opened"),
-        (F.col("_c") + F.sum("closed").over(_so_far(cell, "pos"))).alias("_closed"),
+        (F.col("_c") + F.sum("closed").over(_so_far(cell, "pos"))).alias("_closed"), F.col("empty").alias("_empty"),
     )
     before_end = running.select(*keys, F.col("pos").alias("end"), "_opened")
-    up_to_start = running.select(*keys, F.col("pos").alias("start"), "_closed")
+    up_to_start = running.select(*keys, F.col("pos").alias("start"), "_closed", "_empty")
+    again = F.when(F.col("start") == F.col("end"), F.col("_empty")).otherwise(0)
     return (
         a.join(before_end, [*keys, "end"], "left").join(up_to_start, [*keys, "start"], "left")
-        .withColumn(name, F.coalesce(F.col("_opened") - F.col("_closed"), F.lit(0)).cast("bigint"))
+        .withColumn(name, F.coalesce(F.col("_opened") - F.col("_closed") + again, F.lit(0)).cast("bigint"))
         .select(*a.columns, name)
     )
 

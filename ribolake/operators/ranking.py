@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .staging import stage
+from .staging import join_side, stage
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _PARTITION_SHIFT = 33
@@ -33,6 +33,11 @@ def ranked(df: DataFrame, order: Sequence[Column | str], name: str = "rank", by:
     # At most one row per partition of the sort: bounded by the partition count.
     out = placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + F.col("_row") + 1)
     if by:
-        first = out.groupBy(F.col(by)).agg(F.min(name).alias("_first"))
-        out = out.join(first, by).withColumn(name, F.col(name) - F.col("_first") + 1)
+        # Where each value begins: the rows of smaller values, from one row a partition and value.
+        starts = placed.groupBy(F.col(by)).agg(F.count("*").alias("_n"))
+        first = stage(
+            starts.select(by, F.coalesce(F.sum("_n").over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first")),
+            "ranked-starts",
+        )
+        out = out.join(join_side(first, first.count(), 64), by).withColumn(name, F.col(name) - F.col("_first"))
     return out.select(*df.columns, F.col(name).cast("bigint").alias(name))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.sequence import count_of, low_quality_bases, strip_gaps, without_adapter
+from ..functions.sequence import count_of, kept_length, low_quality_bases, strip_gaps, without_adapter
 from .ranking import ranked
+from .staging import join_side, stage
 
 
 def length_filter(df: DataFrame, min_length: int = 15, max_length: int | None = 250) -> DataFrame:
@@ -23,15 +24,52 @@ def trim_adapter(df: DataFrame, adapter: str, min_overlap: int = 4) -> DataFrame
     return df.select("*", kept).select(*[cut(c) if c in ("seq", "qual") else c for c in df.columns])
 
 
-def detect_adapter(df: DataFrame, k: int = 12) -> DataFrame:
-    """The most frequent read end of ``k`` bases with its count: one row."""
-    return (
-        df.filter(F.length("seq") >= k)
-        .groupBy(F.right("seq", F.lit(k)).alias("tail"))
-        .agg(F.count("*").alias("reads"))
-        .orderBy(F.desc("reads"), "tail")
-        .limit(1)
+def detect_adapters(
+    df: DataFrame, k: int = 12, min_insert: int = 15, min_share: float = 0.1, min_reads: int = 5, max_left: int = 40,
+    min_steady: int = 10,
+) -> DataFrame:
+    """The 3' adapter of each sample that has one: sample, adapter, reads.
+
+    Each distinct read counts once, so an abundant insert is no adapter. Among the k-mers
+    that start at ``min_insert`` or later, the one in most distinct reads is an adapter's
+    if at least ``min_reads`` and ``min_share`` of the sample's distinct reads hold it; it
+    is extended to the left while one base stands there in four fifths of those reads, if
+    they are ``min_steady`` or more. A sample without such a k-mer has no row.
+    """
+    unique = stage(df.select("sample", "seq").distinct(), "distinct-reads")
+    totals = unique.groupBy("sample").agg(F.count("*").alias("_total"))
+    last = F.length("seq") - k
+    at = F.explode(F.sequence(F.lit(min_insert), last)).alias("at")
+    kmers = unique.filter(last >= min_insert).select("sample", "seq", at).select(
+        "sample", "seq", F.substring("seq", F.col("at") + 1, F.lit(k)).alias("kmer")
     )
+    counted = kmers.distinct().groupBy("sample", "kmer").agg(F.count("*").alias("reads"))
+    best = counted.groupBy("sample").agg(F.min(F.struct((-F.col("reads")).alias("_n"), "kmer")).alias("b"))
+    chosen = stage(
+        best.join(totals, "sample").select("sample", "b.kmer", (-F.col("b._n")).alias("reads"), "_total")
+        .filter((F.col("reads") >= min_reads) & (F.col("reads") >= F.col("_total") * min_share)).drop("_total"),
+        "adapter-kmers",
+    )
+    holding = unique.join(join_side(chosen, chosen.count(), 64), "sample").withColumn("_at", F.expr(f"locate(kmer, seq, {min_insert + 1})")).filter("_at > 0")
+    left = holding.select("sample", F.explode(F.sequence(F.lit(1), F.least(F.col("_at") - 1, F.lit(max_left)))).alias("d"), "seq", "_at").select(
+        "sample", "d", F.substring("seq", F.col("_at") - F.col("d"), F.lit(1)).alias("base")
+    )
+    steady = left.groupBy("sample", "d", "base").agg(F.count("*").alias("n")).join(chosen, "sample").filter((5 * F.col("n") >= 4 * F.col("reads")) & (F.col("reads") >= min_steady))
+    # At most one base a place reaches four fifths; the run of places 1, 2, 3 ... is the extension.
+    runs = steady.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("d", "base"))).alias("s"))
+    before = F.transform(F.filter("s", lambda e, i: e["d"] == i + 1), lambda e: e["base"])
+    return chosen.join(runs, "sample", "left").select(
+        "sample", F.concat(F.coalesce(F.reverse(F.array_join(before, "")), F.lit("")), "kmer").alias("adapter"), "reads"
+    )
+
+
+def trim_detected(df: DataFrame, adapters: DataFrame, min_overlap: int = 4) -> DataFrame:
+    """Cut each sample's own adapter; samples without one stay as they are."""
+    adapters = stage(adapters.select("sample", F.col("adapter").alias("_adapter")), "adapters")
+    found = df.join(join_side(adapters, adapters.count(), 128), "sample", "left")
+    kept = F.explode(F.array(F.coalesce(kept_length(F.col("seq"), F.col("_adapter"), min_overlap), F.length("seq")))).alias("_kept")
+    cut = lambda c: F.substring(c, F.lit(1), F.col("_kept")).alias(c)
+    return found.select(*df.columns, kept).select(*[cut(c) if c in ("seq", "qual") else c for c in df.columns])
 
 
 def quality_filter(df: DataFrame, low_percent: int = 40, max_n: int = 5) -> DataFrame:

@@ -52,13 +52,3 @@ def join_side(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_R
     if rows <= limit and rows * row_bytes <= BROADCAST_BYTES:
         return F.broadcast(df)
     return df.hint("merge")
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a table that sits in fewer files than there are cores.
-
-    Unsplittable files (compressed reads, one row group) would leave one task per
-    file for all later work; a table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df

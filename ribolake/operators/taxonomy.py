@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequence import has_ambiguous, normalise, revcomp
-from .align import panel_tiles, tile_seeds
-from .staging import join_side, spread, stage
+from .align import build_index, mismatch_join, panel_tiles, tile_seeds
+from .staging import join_side, stage
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -68,7 +70,7 @@ def classify(sequences: DataFrame, lca: DataFrame, k: int) -> DataFrame:
     """
     lca = stage(lca, "kmer-lca")
     side = join_side(lca, lca.count(), 8 * k)
-    per_taxon = read_kmers(spread(sequences.select("seq").distinct(), "seq"), k).join(side, "kmer").groupBy("seq", "lineage").agg(
+    per_taxon = read_kmers(sequences.select("seq").distinct(), k).join(side, "kmer").groupBy("seq", "lineage").agg(
         F.count("*").alias("hits")
     )
     listed = per_taxon.groupBy("seq").agg(F.collect_list(F.struct("lineage", "hits")).alias("taxa"))
@@ -108,18 +110,32 @@ def clade_report(assigned: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return named.unionByName(none)
 
 
-def rrna_screen(sequences: DataFrame, panel: DataFrame, k: int = 12, min_share: float = 0.5) -> DataFrame:
+def screen_length(bases: int, chance: float = 0.01) -> int:
+    """k at which a random k-mer is in a panel of ``bases`` with at most the given chance."""
+    return max(12, math.ceil(math.log(max(2 * bases / chance, 4), 4)))
+
+
+def rrna_screen(sequences: DataFrame, panel: DataFrame, k: int | None = None, min_share: float = 0.5) -> DataFrame:
     """Distinct sequences with the share of their k-mers found in the rRNA panel.
 
     A table-based screen in place of a trained model: ``is_rrna`` where the share
-    reaches ``min_share``. Sequences shorter than ``k`` have share 0.
+    reaches ``min_share``. ``k`` follows the panel's size unless it is given. Sequences
+    shorter than ``k`` have share 1 if they occur in the panel, else 0.
     """
+    if k is None:
+        k = screen_length(panel.agg(F.sum(F.length("seq"))).first()[0] or 0)
     known = stage(panel_kmers(panel, k).select("kmer").distinct(), "rrna-kmers")
     side = join_side(known, known.count(), k + 32)
-    unique = spread(sequences.select("seq").distinct(), "seq")
+    unique = stage(sequences.select("seq").distinct(), "screened")
     found = read_kmers(unique, k).join(side, "kmer").groupBy("seq").agg(F.count("*").alias("found"))
-    total = F.greatest(F.length("seq") - k + 1, F.lit(0))
-    share = F.when(total > 0, F.coalesce("found", F.lit(0)) / total).otherwise(F.lit(0.0))
-    return unique.join(found, "seq", "left").select("seq", F.round(share, 6).alias("share")).withColumn(
-        "is_rrna", F.col("share") >= min_share
-    )
+    short = unique.filter((F.length("seq") < k) & (F.length("seq") > 0))
+    shortest = short.agg(F.min(F.length("seq"))).first()[0]
+    if shortest:
+        index = build_index(panel, min_length=shortest, max_length=k)
+        # The index looks up seeds of some bases; shorter reads than that name no place.
+        placed = mismatch_join(short.filter(F.length("seq") >= index.k), index, 0, "all", index.k).select("seq").distinct()
+        found = found.unionByName(placed.withColumn("found", F.lit(1).cast("bigint")))
+    total = F.greatest(F.length("seq") - k + 1, F.lit(1))
+    return unique.join(found, "seq", "left").select(
+        "seq", F.round(F.coalesce("found", F.lit(0)) / total, 6).alias("share")
+    ).withColumn("is_rrna", F.col("share") >= min_share)

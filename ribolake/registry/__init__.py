@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("intervals", "reads", "alignment", "counting", "files")
+MODULES = ("intervals", "reads", "alignment", "counting", "files", "awkward")
 
 
 def load():

@@ -20,8 +20,12 @@ def panel(t, *names):
     return rows.select("ref_id", "panel", F.col("dna").alias("seq"))
 
 
+# Every contig belongs to one of the two references.
+ROLES = {"user": ("user", "system"), "assistant": ("assistant",)}
+
+
 def contigs(t, role):
-    return t("ct").filter(F.col("role") == role).select(F.col("contig").alias("ref_id"), F.col("dna").alias("seq"))
+    return t("ct").filter(F.col("role").isin(*ROLES[role])).select(F.col("contig").alias("ref_id"), F.col("dna").alias("seq"))
 
 
 def aligned_to(t, refs, v=1, report="all", min_length=15, reads=None):
@@ -59,7 +63,8 @@ def refs_sql(name: str, *panels: str) -> str:
 
 
 def contigs_sql(name: str, role: str) -> str:
-    return f"{name} as (select contig ref_id, dna from ct where role='{role}')"
+    quoted = ",".join(f"'{r}'" for r in ROLES[role])
+    return f"{name} as (select contig ref_id, dna from ct where role in ({quoted}))"
 
 
 @query("ct uniq", f"with {contigs_sql('g', 'user')}, {hits_sql('h', 'uniq', 'g', 1)} {best_sql('h')}")
@@ -69,7 +74,7 @@ def host_align(t):
 
 @query("pn uniq", f"with {refs_sql('g', *HOST_ORDER)}, {hits_sql('h', 'uniq', 'g', 1)} select seq, ref_id, pos, strand, mm from h")
 def align_all(t):
-    return aligned_to(t, panel(t, *HOST_ORDER), 1, "all")
+    return aligned_to(t, panel(t, *HOST_ORDER), 1, "all").select(*al.HIT_COLUMNS)
 
 
 @query("pn coll", f"""with {refs_sql('g', 'tRNA')}, u as (select distinct seq from coll), {hits_sql('h', 'u', 'g', 1)}, b as ({best_sql('h')})
@@ -83,12 +88,12 @@ def trna_align(t):
 @query("pn uniq", f"""with {refs_sql('g', 'miRNA')}, u as (select seq from uniq where length(seq) between 18 and 26), {hits_sql('h', 'u', 'g', 0, 18)} {best_sql('h')}""")
 def mirna_exact(t):
     short = t("uniq").filter(F.length("seq").between(18, 26))
-    return aligned_to(t, panel(t, "miRNA"), 0, "best1", 18, short)
+    return aligned_to(t, panel(t, "miRNA"), 0, "best1", 18, short).select(*al.HIT_COLUMNS)
 
 
 @query("pn uniq", f"with {refs_sql('g', 'rfam')}, {hits_sql('h', 'uniq', 'g', 1)} {best_sql('h')}")
 def rfam_align(t):
-    return aligned_to(t, panel(t, "rfam"), 1, "best1")
+    return aligned_to(t, panel(t, "rfam"), 1, "best1").select(*al.HIT_COLUMNS)
 
 
 _STRATA = "select seq, ref_id, pos, strand, mm from (select *, min(mm) over (partition by seq) m from h) x where mm=m"
@@ -126,7 +131,7 @@ def host_references(t):
 
 def host_tagged(t, reads):
     refs = host_references(t)
-    hits = cs.with_priority(aligned_to(t, refs, reads=reads), refs, ("panels", "transcripts"))
+    hits = cs.with_priority(aligned_to(t, refs, reads=reads), ("panels", "transcripts"))
     return cs.host_split(reads, hits)
 
 
@@ -142,7 +147,7 @@ def host_split(t):
 
 def host_hits(t):
     refs = panel(t, *HOST_ORDER)
-    return cs.with_priority(aligned_to(t, refs), refs, HOST_ORDER)
+    return cs.with_priority(aligned_to(t, refs), HOST_ORDER)
 
 
 _HOST = f"""with {refs_sql('g', *HOST_ORDER)}, {hits_sql('h', 'uniq', 'g', 1)},
@@ -164,7 +169,7 @@ def host_cascade(t):
  select sample, ref_id, round(sum(cast(n*w as double)),6) reads from coll join w using (seq) group by all""")
 def fractional_counts(t):
     counts = ct.fractional_counts(t("coll"), cs.hits_of_first_class(host_hits(t)))
-    return counts.withColumn("reads", F.round("reads", 6))
+    return counts.select("sample", "ref_id", F.round("reads", 6).alias("reads"))
 
 
 @query("pn coll uniq", _HOST + """,
@@ -196,7 +201,7 @@ def rrna_screen(t):
 
 def nonhost_hits(t, reads=None):
     refs = panel(t, "tRNA", "miRNA", "rfam")
-    return aligned_to(t, refs, reads=reads).join(refs.select("ref_id", "panel"), "ref_id")
+    return aligned_to(t, refs, reads=reads)
 
 
 def nonhost_classified(t, reads=None):

@@ -77,7 +77,7 @@ def _contig_annotation(t):
     )
 
 
-_PLACED = f"""with {_CAN}, {ra.contigs_sql('g', 'assistant')}, {ra.hits_sql('h', 'uniq', 'g', 1)},
+_PLACED_ON = f"""with {_CAN}, {ra.contigs_sql('g', 'assistant')}, @hits,
  bs as (select * from (select *, min(mm) over (partition by seq) m from h) x where mm=m),
  placed as (select seq, ref_id contig, pos s, pos+length(seq) e, strand, mm, count(*) over (partition by seq) n_hits, 1.0/count(*) over (partition by seq) weight from bs),
  ov as (select p.contig, p.s, p.e, p.strand, coalesce(b.name,'.') name, coalesce(b.ftype,'.') ftype,
@@ -85,6 +85,7 @@ _PLACED = f"""with {_CAN}, {ra.contigs_sql('g', 'assistant')}, {ra.hits_sql('h',
    from (select distinct contig,s,e,strand from placed) p left join can b on b.contig=p.contig and b.s<p.e and p.s<b.e),
  best as (select contig,s,e,strand,name feature,ftype,overlap from (select *, row_number() over (partition by contig,s,e,strand order by overlap desc,bs,be,name,ftype) rk from ov) x where rk=1),
  annotated as (select * from placed join best using (contig,s,e,strand))"""
+_PLACED = _PLACED_ON.replace("@hits", ra.hits_sql("h", "uniq", "g", 1))
 
 
 def _quantified(t):
@@ -113,6 +114,14 @@ def feature_counts(t):
     return _quantified(t)["counts"].withColumn("weighted", F.round("weighted", 6))
 
 
+@query("an ct uniq coll", _PLACED_ON.replace("@hits", ra.hits_sql("h", "uniq", "g", 2))
+       + " select sample, feature, ftype, cast(sum(n) as bigint) raw, round(sum(cast(n*weight as double)),6) weighted from annotated join coll using (seq) group by all")
+def assembly_branch(t):
+    """The whole assembly branch, with up to two mismatches."""
+    out = assembly.assembly_based(t("coll"), ra.contigs(t, "assistant"), _contig_annotation(t), v=2)
+    return out["counts"].withColumn("weighted", F.round("weighted", 6))
+
+
 @query("an ct uniq coll", _PLACED + " select sample, cast(e-s as bigint) as length, round(sum(cast(n*weight as double)),6) reads from annotated join coll using (seq) where e-s<=51 group by all")
 def length_hist(t):
     return _quantified(t)["lengths"].withColumn("reads", F.round("reads", 6))
@@ -151,7 +160,7 @@ def _summaries(t):
     pre = _preprocessed(t)
     samples = t("reads").select("sample").distinct()
     host = classification.host_specific(pre["host"], ra.panel(t, *ra.HOST_ORDER), ra.HOST_ORDER, samples)
-    nonhost = classification.nonhost_specific(pre["non_host"], ra.panel(t, "tRNA", "miRNA", "rfam"), ra.panel(t, "rRNA"), samples)
+    nonhost = classification.nonhost_specific(pre["non_host"], ra.panel(t, "tRNA", "miRNA", "rfam"), ra.panel(t, "rRNA"), samples, k=ra.RRNA_K)
     loci = novel.novel_ncrna(ri._alignments(t), ri._annotation(t))
     return {
         "preprocessing": stage(pre["summary"], "summary"), "host": stage(host["summary"], "summary"),
@@ -171,7 +180,7 @@ def host_workflow(t):
 def nonhost_workflow(t):
     pre = _preprocessed(t)
     return classification.nonhost_specific(
-        pre["non_host"], ra.panel(t, "tRNA", "miRNA", "rfam"), ra.panel(t, "rRNA"), t("reads").select("sample").distinct()
+        pre["non_host"], ra.panel(t, "tRNA", "miRNA", "rfam"), ra.panel(t, "rRNA"), t("reads").select("sample").distinct(), k=ra.RRNA_K
     )["summary"]
 
 

@@ -40,9 +40,62 @@ def adapter_trim(t):
     return trimmed(t).select("sample", "read_id", "seq", "qual")
 
 
-@query("reads", "select right(seq,12) tail, count(*) reads from reads where length(seq)>=12 group by 1 order by 2 desc, 1 limit 1")
+def detected_sql(reads: str) -> str:
+    """CTE ``adapters``(sample, adapter, reads) for the reads in ``reads``."""
+    return f"""
+ dr as (select distinct sample, seq from {reads}), dt as (select sample, count(*) total from dr group by sample),
+ dk as (select distinct sample, seq, seq[p+1:p+12] kmer from (select sample, seq, unnest(range(15, length(seq)-11)) p from dr where length(seq)>=27) x),
+ dc as (select sample, kmer, count(*) n from dk group by all),
+ db as (select sample, kmer, n from (select *, row_number() over (partition by sample order by n desc, kmer) rk from dc) x join dt using (sample) where rk=1 and n>=5 and n>=0.1*total),
+ dp as (select dr.sample, seq, kmer, n, 15+strpos(seq[16:], kmer) at_ from dr join db using (sample) where contains(seq[16:], kmer)),
+ dl as (select sample, n, d, seq[at_-d] base from (select *, unnest(range(1, least(at_-1,40)+1)) d from dp) x),
+ ds as (select sample, d, base from (select sample, n, d, base, count(*) c from dl group by all) x where 5*c>=4*n and n>=10),
+ dx as (select sample, d, base, row_number() over (partition by sample order by d) rn from ds),
+ de as (select sample, string_agg(base, '' order by d desc) ext from dx where d=rn group by sample),
+ adapters as (select sample, coalesce(ext,'')||kmer adapter, n reads from db left join de using (sample))"""
+
+
+@query("reads", f"with {detected_sql('reads')} select * from adapters")
 def adapter_detect(t):
-    return rd.detect_adapter(t("reads"))
+    return rd.detect_adapters(t("reads"))
+
+
+@query("reads", f"with r as (select sample, insert_seq seq from reads), {detected_sql('r')} select * from adapters")
+def adapter_detect_none(t):
+    """Reads without adapter: no sample has one."""
+    return rd.detect_adapters(t("reads").select("sample", F.col("insert_seq").alias("seq")))
+
+
+_CYCLES = f"select sample, read_id, insert_seq, left(insert_seq||'{ADAPTER}'||repeat('ACGGT',10),50) seq from reads"
+
+
+def _cycles(t):
+    whole = F.concat("insert_seq", F.lit(ADAPTER + "ACGGT" * 10))
+    return t("reads").select("sample", "read_id", "insert_seq", F.substring(whole, 1, 50).alias("seq"))
+
+
+@query("reads", f"with r as ({_CYCLES}), {detected_sql('r')} select * from adapters")
+def adapter_detect_fixed_length(t):
+    """A run of 50 cycles: every read goes into or beyond the adapter."""
+    return rd.detect_adapters(_cycles(t))
+
+
+_TRIM_FOUND = """ found as (select r.sample, read_id, seq, adapter, case when adapter is null then length(seq) when contains(seq,adapter) then strpos(seq,adapter)-1
+   else length(seq)-coalesce(list_max(list_filter(range(4,length(adapter)), lambda n: ends_with(seq, adapter[:n]))),0) end cut from r left join adapters using (sample))
+ select sample, read_id, seq[:cut] seq from found"""
+
+
+@query("reads", f"with r as (select * from reads), {detected_sql('r')}, {_TRIM_FOUND}")
+def adapter_trim_detected(t):
+    reads = t("reads").select("sample", "read_id", "seq")
+    return rd.trim_detected(reads, rd.detect_adapters(reads))
+
+
+@query("reads", "select sample, read_id, insert_seq seq from reads")
+def adapter_trim_none(t):
+    """Reads without adapter come back whole."""
+    reads = t("reads").select("sample", "read_id", F.col("insert_seq").alias("seq"))
+    return rd.trim_detected(reads, rd.detect_adapters(reads))
 
 
 @query("reads", f"with {PASSED} select sample, read_id, seq from good")

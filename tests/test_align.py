@@ -113,13 +113,39 @@ def test_tiles_do_not_show(spark):
     assert rows(al.mismatch_join(reads, index, 1)) >= {(text[i:i + 30], "x", i, "+", 0) for i in range(670)}
 
 
+def test_equal_ids_in_two_panels(spark):
+    """Panels keep their references apart, in any spelling of the read."""
+    one, two = "ACGTTGCAACGGATCCTTAG", "TTGACCATGGCATTACGCAT"
+    refs = spark.createDataFrame([("tRNA", "x", one), ("rfam", "x", two)], "panel string, ref_id string, seq string")
+    index = al.build_index(refs, min_length=15)
+    told = [two, two.lower(), two.replace("T", "U"), one]
+    for report in ("all", "best1", "best_strata"):
+        hits = al.mismatch_join(spark.createDataFrame([(s,) for s in told], "seq string"), index, 1, report, 15)
+        assert {(r["seq"], r["panel"], r["ref_id"], r["mm"]) for r in hits.collect()} == {
+            (s, "rfam" if s != one else "tRNA", "x", 0) for s in told
+        }
+    first = cs.first_match(cs.with_priority(hits, ("tRNA", "rfam"))).collect()
+    assert {r["seq"]: r["priority"] for r in first} == {s: 2 if s != one else 1 for s in told}
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        al.build_index(refs.withColumn("panel", F.lit("both")))
+
+
+def test_screen_length_keeps_chance_hits_rare(spark):
+    rnd = random.Random(3)
+    base = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    panel = spark.createDataFrame([(f"r{i}", base(1500)) for i in range(200)], "ref_id string, seq string")
+    reads = spark.createDataFrame([(base(25),) for _ in range(400)] + [(panel.first()["seq"][40:55],)], "seq string")
+    found = [r["seq"] for r in tx.rrna_screen(reads, panel).filter("is_rrna").collect()]
+    assert len(found) <= 3 and panel.first()["seq"][40:55] in found
+
+
 def test_cascade_partitions_the_reads(spark):
     collapsed = spark.createDataFrame([("S", s, n) for s, n in (("a", 3), ("b", 2), ("c", 1), ("d", 5))], "sample string, seq string, n bigint")
     hits = spark.createDataFrame(
-        [("a", "m1"), ("a", "t1"), ("b", "r1"), ("b", "r2"), ("b", "o1"), ("c", "o1")], "seq string, ref_id string"
+        [("a", "m1", "M"), ("a", "t1", "T"), ("b", "r1", "R"), ("b", "r2", "R"), ("b", "o1", "O"), ("c", "o1", "O"), ("d", "x", "X")],
+        "seq string, ref_id string, panel string",
     ).withColumns({"pos": F.lit(0), "strand": F.lit("+"), "mm": F.lit(0)})
-    refs = spark.createDataFrame([("m1", "M"), ("t1", "T"), ("r1", "R"), ("r2", "R"), ("o1", "O")], "ref_id string, panel string")
-    ranked = cs.with_priority(hits, refs, ("M", "T", "R", "O"))
+    ranked = cs.with_priority(hits, ("M", "T", "R", "O"))
     classes = cs.host_classes(collapsed, ranked)
     assert {r["seq"]: r["rna_class"] for r in classes.collect()} == {"a": "miRNA", "b": "rRNA", "c": "otherRNA", "d": "unknown"}
     counts = {r["ref_id"]: r["reads"] for r in ct.fractional_counts(collapsed, cs.hits_of_first_class(ranked)).collect()}

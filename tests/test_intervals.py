@@ -77,6 +77,9 @@ def test_one_hot_contig(spark):
 def test_overlaps_equal_the_naive_join(spark, tile, width):
     rnd = random.Random(tile)
     a, b = some(rnd, 150), some(rnd, 200) + [("c0", 0, 3000, "+"), ("c1", 100, 101, ".")]
+    # Empty intervals on both sides, some of them at one place.
+    a += [(c, s, s, t) for c, s, _, t in b[:40]] + [("c0", 50, 50, "+")]
+    b += [(c, e, e, t) for c, _, e, t in a[:40]] + [("c0", 50, 50, "+"), ("c0", 45, 50, "+"), ("c0", 50, 55, "+")]
     x, y = frame(spark, a), frame(spark, b)
     naive = [(i, j) for i, p in enumerate(a) for j, q in enumerate(b) if p[0] == q[0] and p[3] == q[3] and p[1] < q[2] and q[1] < p[2]]
     pairs = iv.overlap_pairs(x, y, bin_width=width).select("name", "b_name").collect()

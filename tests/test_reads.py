@@ -80,9 +80,23 @@ def test_ranked_restarts_per_group_and_has_no_gaps(spark):
         assert [x for _, x in rows] == sorted(x for _, x in rows)
 
 
-def test_adapter_detection(spark):
-    df = reads(spark, *(["ACGT" * k + "GGGGTTTTCCCC" for k in range(1, 5)] + ["A" * 20]))
-    assert tuple(rd.detect_adapter(df).first()) == ("GGGGTTTTCCCC", 4)
+def test_adapter_detection_per_sample(spark):
+    import random
+
+    rnd = random.Random(2)
+    base = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    adapter = "TGGAATTCTCGGGTGCCAAGG"
+    rows = [("with", base(rnd.randint(15, 26)) + adapter[: rnd.randint(12, 21)]) for _ in range(100)]
+    rows += [("cycles", (base(rnd.randint(18, 26)) + adapter + base(20))[:50]) for _ in range(100)]
+    abundant = base(22)
+    rows += [("none", base(22)) for _ in range(70)] + [("none", abundant)] * 30
+    df = spark.createDataFrame([(s, x, "I" * len(x)) for s, x in rows], "sample string, seq string, qual string")
+    found = {r["sample"]: r["adapter"] for r in rd.detect_adapters(df).collect()}
+    assert set(found) == {"with", "cycles"}
+    assert all(adapter.startswith(a) and len(a) >= 12 for a in found.values())
+    out = rd.trim_detected(df, rd.detect_adapters(df)).collect()
+    assert sorted(r["seq"] for r in out if r["sample"] == "none") == sorted(x for s, x in rows if s == "none")
+    assert all(len(r["seq"]) <= 26 and len(r["seq"]) == len(r["qual"]) for r in out)
 
 
 def test_profiles(spark):

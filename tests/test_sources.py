@@ -84,8 +84,12 @@ def test_small_tables(spark, tmp_path):
     assert sorted((r[0], r[1], r[2]) for r in read_accession_taxa(spark, str(tmp_path / "taxa")).collect()) == [("acc", 12, "name"), ("acc2", 13, None)]
     (tmp_path / "counts").write_text("f\treads\na\t1.5\nb\t\nc\t2\n")
     assert count_file_totals(spark, str(tmp_path / "counts")).first()[0] == 3.5
-    (tmp_path / "sum.tsv").write_text("sample\tcategory\treads\nS\tinput\t7\nbad\tline\n")
-    assert [tuple(r) for r in read_summaries(spark, str(tmp_path / "sum.tsv")).collect()] == [("sum.tsv", "S", "input", "7")]
+    (tmp_path / "counts3").write_text("f\tnote\treads\na\tx\t2\nb\ty\tno number\n")
+    assert count_file_totals(spark, [str(tmp_path / "counts"), str(tmp_path / "counts3")]).first()[0] == 5.5
+    (tmp_path / "sum.tsv").write_text("sample\tcategory\treads\nS\tinput\t7\nbad\tline\nsample\tinput\t8\n")
+    paths = [str(tmp_path / "sum.tsv"), str(tmp_path / "absent.tsv")]
+    assert sorted(tuple(r) for r in read_summaries(spark, paths).collect()) == [("sum.tsv", "S", "input", "7"), ("sum.tsv", "sample", "input", "8")]
+    assert read_summaries(spark, paths[1:]).count() == 0
 
 
 def test_family_classes(spark):
