@@ -141,10 +141,10 @@ def certified(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) ->
     per_rule = stage(per_rule, "rules-counts")
     strata = max(per_rule.select("stratum").distinct().count(), 1)
     grids = F.create_map(*[x for rule, grid in GRIDS.items() for x in (F.lit(rule), F.array(*map(F.lit, grid)))])
-    # A document is lost at the i-th cutoff of the grid if it lies above the first i or more.
+    # A document above j cutoffs lies above the j tightest, and is lost at the i-th if that is one of them.
     lost = F.aggregate(
         F.map_entries("by_place"), F.lit(0).cast("bigint"),
-        lambda total, e: total + F.when(e["key"] >= F.col("i"), e["value"]).otherwise(0),
+        lambda total, e: total + F.when(e["key"] > F.size("grid") - F.col("i"), e["value"]).otherwise(0),
     )
     share = alpha / len(GRIDS)
     tests = (
