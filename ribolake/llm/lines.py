@@ -101,7 +101,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     alive = stage(
         join_small(lines, names, ["h1", "h2"], n_names, 24).select(*DOC, "p", "i", "chars", "r").distinct(), "lines-alive"
     )
-    runs = stage(minimal_runs(alive, min_chars).withColumn("k", F.floor(F.log2(F.col("n").cast("double"))).cast("int")), "lines-runs")
+    runs = stage(minimal_runs(alive, min_chars).withColumn("k", F.length(F.bin("n")) - 1), "lines-runs")
     top = runs.agg(F.max("k")).first()[0]
     if top is None:
         return alive.select(*DOC, "i").limit(0)
