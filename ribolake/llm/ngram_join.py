@@ -15,13 +15,14 @@ other words and hence hardly ever makes a signature of its own.
 *Pivots.* Within a signature every class is verified against one pivot, the class that
 shares most with others, so a group of copies costs links in proportion to its size.
 
-*R-tree.* What candidate pairs connect, linked or not, is a family. Where the pivots
-left a family in several components, its members are points (token counts in fixed
-groups) in a packed R-tree, and the members outside the largest component query it. A page is skipped if the
-sum of the smaller coordinates of the query and the page's upper corner is below the
-overlap that a link needs. Surviving pairs that are not yet connected are verified on
-the whole sets. Large families are cut into chunks, one task for a chunk of queries and
-a chunk of the index, so no task holds more than two of them.
+*R-tree.* Where the pivots left the members of a signature in several components, the
+members are points (token counts in fixed groups) in a packed R-tree, and those outside
+the largest component query it. A page is skipped if the sum of the smaller coordinates
+of the query and the page's upper corner is below the overlap that a link needs. What
+the vectors alone may connect is a family; its members are searched once more and the
+surviving pairs that are not yet connected verified on the whole sets. Large groups are
+cut into chunks, one task for a chunk of queries and a chunk of the index, so no task
+holds more than two of them.
 
 Every bound is exact, no candidate is dropped or capped. Classes are told apart by 64
 bits of hash over all tokens and the set size.
@@ -215,25 +216,30 @@ def search_pages(query: np.ndarray, size: int, tree, vectors: np.ndarray, sizes:
     return points[(100 + share) * common >= share * (size + sizes[points])]
 
 
-def linked_in(index: pd.DataFrame, queries: pd.DataFrame, share: int) -> list[tuple[int, int]]:
-    """Links from ``queries`` to members of ``index`` that are not yet connected with them."""
-    tokens, sizes = index["tokens"].tolist(), index["n"].to_numpy(np.int64)
-    vectors = np.stack(index["vector"].tolist()).astype(np.int32)
+def linked_in(index: pd.DataFrame, queries: pd.DataFrame, share: int, exact: bool) -> list[tuple[int, int]]:
+    """Pairs of ``queries`` and members of ``index`` that connect two components.
+
+    With ``exact`` the pairs link; without, their vectors allow a link and the rows need
+    no tokens. A pair that connects nothing new is left out.
+    """
+    sizes, vectors = index["n"].to_numpy(np.int64), np.stack(index["vector"].tolist()).astype(np.int32)
     names = index["cls"].to_numpy(np.int64)
+    unsigned = lambda column: [np.asarray(x, np.int64).view(np.uint64) for x in column]  # sorted as such
+    tokens, asked = (unsigned(index["tokens"]), unsigned(queries["tokens"])) if exact else ([], [None] * len(queries))
     _, roots = np.unique(np.concatenate([index["root"], queries["root"]]).astype(np.int64), return_inverse=True)
     root, query_root = roots[: len(index)], roots[len(index) :]
     tree = pages_of(vectors, sizes)
     links = []
-    for i, (name, own, size, vector) in enumerate(zip(queries["cls"], queries["tokens"], queries["n"], queries["vector"])):
+    for i, (name, own, size, vector) in enumerate(zip(queries["cls"], asked, queries["n"], queries["vector"])):
         points = search_pages(np.asarray(vector), size, tree, vectors, sizes, share)
         points = points[root[points] != query_root[i]]
-        if not len(points):
-            continue
-        run = np.concatenate([tokens[p] for p in points])
-        begin = np.concatenate(([0], np.cumsum(sizes[points])[:-1]))
-        hit = own[np.minimum(np.searchsorted(own, run), size - 1)] == run
-        common = np.add.reduceat(hit.astype(np.int64), begin)
-        for p in points[(100 + share) * common >= share * (size + sizes[points])]:
+        if exact and len(points):
+            run = np.concatenate([tokens[p] for p in points])
+            begin = np.concatenate(([0], np.cumsum(sizes[points])[:-1]))
+            hit = own[np.minimum(np.searchsorted(own, run), size - 1)] == run
+            common = np.add.reduceat(hit.astype(np.int64), begin)
+            points = points[(100 + share) * common >= share * (size + sizes[points])]
+        for p in points:
             if root[p] != query_root[i]:
                 links.append((name, names[p]))
                 old = query_root[i]
@@ -242,57 +248,76 @@ def linked_in(index: pd.DataFrame, queries: pd.DataFrame, share: int) -> list[tu
     return links
 
 
-def residual_links(pairs: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Links inside families whose members the pivots left in several components.
+def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool) -> DataFrame:
+    """Pairs that connect different roots inside each group of ``members(group, cls, root)``.
 
-    A family is what ``pairs``, verified or not, connect. Its members outside the largest
-    component are the queries, all members the index; both are cut into chunks by their
-    number of tokens, and every chunk of queries meets every chunk of the index.
+    The members outside the group's largest component are the queries, all members the
+    index; both are cut into chunks of bounded size, and every chunk of queries meets
+    every chunk of the index.
     """
-    families = components(pairs).select(F.col("node").alias("cls"), F.col("root").alias("family"))
-    known = stage(
-        families.join(roots, families["cls"] == roots["node"], "left")
-        .select("family", "cls", F.coalesce("root", "cls").alias("root")).join(sets.select("cls", "n"), "cls"),
-        "join-families",
+    weight = F.col("n") if exact else F.lit(VECTOR)
+    known = stage(members.join(sets.select("cls", "n"), "cls").select("group", "cls", "root", weight.alias("weight")), "join-known")
+    parts = known.groupBy("group", "root").agg(
+        F.count("*").alias("size"), F.sum("weight").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("list")
     )
-    parts = known.groupBy("family", "root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    lists = parts.groupBy("group").agg(
+        F.max(F.struct("size", "total", "root")).alias("main"), F.sum("total").alias("total"), F.sum("size").alias("size"),
+        F.bit_xor("list").alias("list"),
+    ).filter("size > 2 and size > main.size")
+    chunks = lambda amount: F.ceil(amount / CHUNK_TOKENS).cast("int")
+    # Groups with the same members are searched once.
     open_ = stage(
-        parts.groupBy("family").agg(
-            F.max(F.struct("size", "total", "root")).alias("main"), F.sum("total").alias("total"), F.sum("size").alias("size")
-        ).filter("size > 2 and total > main.total").select(
-            "family", F.col("main.root").alias("main"),
-            F.ceil(F.col("total") / CHUNK_TOKENS).cast("int").alias("chunks"),
-            F.ceil((F.col("total") - F.col("main.total")) / CHUNK_TOKENS).cast("int").alias("query_chunks"),
-            (F.col("total") + F.col("main.total")).alias("work"),
+        lists.groupBy("size", "list").agg(F.min(F.struct("group", "main", "total")).alias("g")).select(
+            "g.group", F.col("g.main.root").alias("main"), chunks(F.col("g.total")).alias("chunks"),
+            chunks(F.col("g.total") - F.col("g.main.total")).alias("query_chunks"),
+            (2 * F.col("g.total") - F.col("g.main.total")).alias("work"),
         ), "join-open",
     )
     count, work = open_.agg(F.count("*"), F.coalesce(F.sum("work"), F.lit(0))).first()
     schema = "a bigint, b bigint"
     if not count:
-        return pairs.sparkSession.createDataFrame([], schema)
-    members = join_small(known.drop("n"), open_, ["family"], count, 32)
+        return members.sparkSession.createDataFrame([], schema)
+    rows = join_small(known.drop("weight"), open_, ["group"], count, 32)
     place = lambda salt, n: F.pmod(F.xxhash64("cls", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = members.select("family", "cls", "root", F.lit(False).alias("query"), place(1, "chunks").alias("i"), every("query_chunks").alias("j"))
-    queries = members.filter("root <> main").select(
-        "family", "cls", "root", F.lit(True).alias("query"), every("chunks").alias("i"), place(2, "query_chunks").alias("j")
+    index = rows.select("group", "cls", "root", F.lit(False).alias("query"), place(1, "chunks").alias("i"), every("query_chunks").alias("j"))
+    queries = rows.filter("root <> main").select(
+        "group", "cls", "root", F.lit(True).alias("query"), every("chunks").alias("i"), place(2, "query_chunks").alias("j")
     )
     tasks = max(1, work // (2 * CHUNK_TOKENS) + 1)
-    keyed = index.union(queries).join(sets, "cls").withColumn(
-        "task", F.pmod(F.xxhash64("family", "i", "j"), F.lit(tasks)).cast("int")
+    content = sets if exact else sets.select("cls", "n", "vector")
+    keyed = index.union(queries).join(content, "cls").withColumn(
+        "task", F.pmod(F.xxhash64("group", "i", "j"), F.lit(tasks)).cast("int")
     )
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         links = []
-        for _, group in part.groupby(["family", "i", "j"], sort=False):
+        for _, group in part.groupby(["group", "i", "j"], sort=False):
             asked = group["query"].to_numpy(bool)
             if asked.any() and not asked.all():
-                links += linked_in(group[~asked], group[asked], share)
+                links += linked_in(group[~asked], group[asked], share, exact)
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     return keyed.groupBy("task").applyInPandas(run, schema)
 
 
+def residual_links(members: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Links inside signatures whose members the pivots left in several components.
+
+    The vectors of each signature's members come first: what they may connect is a
+    family. Then the members of each family are searched again, with their tokens.
+    """
+    rooted = lambda df: df.join(roots, df["cls"] == roots["node"], "left").drop("node").withColumn(
+        "root", F.coalesce("root", "cls")
+    )
+    likely = stage(between_roots(rooted(members.select(F.col("sig").alias("group"), "cls")), sets, share, False), "join-likely")
+    if not likely.limit(1).count():
+        return likely
+    known = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    families = components(likely.union(known)).select(F.col("root").alias("group"), F.col("node").alias("cls"))
+    return between_roots(rooted(families), sets, share, True)
+
+
 def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     """Id, text key, set size and component of every document; a written table."""
     rows = stage(classed(docs, n, share), "join-classes")
@@ -322,7 +347,7 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     sets = stage(sets_of(docs, wanted, wanted.count(), n), "join-sets")
     links = stage(verified(pairs, sets, share), "join-links")
     roots = stage(components(links), "join-roots")
-    more = stage(residual_links(pairs, roots, sets, share), "join-more")
+    more = stage(residual_links(members, roots, sets, share), "join-more")
     if more.limit(1).count():
         bridges = more.select("a", "b").union(roots.filter("node <> root").select("node", "root"))
         roots = stage(components(bridges), "join-roots")
