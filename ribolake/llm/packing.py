@@ -89,6 +89,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 TOKENS = "doc_id bigint, part int, local bigint, n_tokens bigint, ids binary"
 
 

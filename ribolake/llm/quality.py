@@ -122,12 +122,11 @@ def trained(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, roun
         # Averaged over the groups, a group without the feature counting as unchanged.
         found = chosen.groupBy("group").applyInPandas(run, STATE).groupBy("slot").agg(
             F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("groups")
-        ).toPandas()  # at most one row a feature slot
-        at = found["slot"].to_numpy()
-        groups = max(int(found["groups"].max()), 1) if len(found) else 1
-        missing = groups - found["groups"].to_numpy()
-        z[at] = (found["z"].to_numpy() + missing * z[at]) / groups
-        n[at] = (found["n"].to_numpy() + missing * n[at]) / groups
+        ).toArrow()  # at most one row a feature slot
+        at, sum_z, sum_n, own = (found.column(c).to_numpy() for c in ("slot", "z", "n", "groups"))
+        groups = max(int(own.max()), 1) if len(own) else 1
+        z[at] = (sum_z + (groups - own) * z[at]) / groups
+        n[at] = (sum_n + (groups - own) * n[at]) / groups
         state.unpersist()
     return weights_of(z, n)
 

@@ -7,15 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import ann, licenses, lines, mixing, ngram_join, packing, pii, quality, rules, sharding
 from .common import documents, table
 
-TOKENIZER = "byte_bpe_50k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -49,7 +40,7 @@ def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(documents(spark, sf_dir), tokenizer_path())
+    return packing.packed(documents(spark, sf_dir), packing.tokenizer_path())
 
 
 def op9_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:

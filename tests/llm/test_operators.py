@@ -16,7 +16,7 @@ from corpus import SCHEMA, odd_rows, random_rows, row  # noqa: E402
 
 from ribolake.llm import ann, licenses, lines, mixing, ngram_join, packing, pii, quality, rules, sharding  # noqa: E402
 from ribolake.llm.graph import components  # noqa: E402
-from ribolake.llm.queries import tokenizer_path  # noqa: E402
+from ribolake.llm.packing import tokenizer_path  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
