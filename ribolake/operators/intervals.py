@@ -171,8 +171,23 @@ def with_overlap(a: DataFrame, b: DataFrame, keys: Sequence[str] = STRANDED) ->
     return overlap_count(a, b, keys, "_hits").filter("_hits > 0").drop("_hits")
 
 
-def _binned(df: DataFrame, width: int) -> DataFrame:
-    first, last = F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width)
+BIN_STEPS = 8  # each level's bins are 8 times as wide as those below
+BIN_LEVELS = 10
+
+
+def _leveled(df: DataFrame, width: int) -> DataFrame:
+    """Add the finest level whose bins are as wide as the interval is long."""
+    size = F.greatest(F.col("end") - F.col("start"), F.lit(1))
+    level = F.lit(0)
+    for n in range(BIN_LEVELS):
+        level = F.when(size > width * BIN_STEPS**n, n + 1).otherwise(level)
+    return df.withColumn("_level", level)
+
+
+def _in_bins(df: DataFrame, width: int) -> DataFrame:
+    """Bins of the given level that an interval touches, at most a few."""
+    wide = F.lit(width) * F.pow(F.lit(BIN_STEPS), F.col("_level")).cast("bigint")
+    first, last = F.floor(F.col("start") / wide), F.floor((F.col("end") - 1) / wide)
     return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, last))))
 
 
@@ -185,20 +200,35 @@ def overlap_pairs(
 ) -> DataFrame:
     """All overlapping pairs of equal keys; ``b`` columns get ``prefix``, plus ``overlap``.
 
-    Both sides are spread over the bins they touch; a pair counts only in the later
-    of the two first bins, so it appears once and needs no distinct.
+    Intervals lie in bins as wide as themselves, of one of a few levels, so a long one
+    touches no more bins than a short one. Two intervals meet at the level of the longer
+    one: one join has the longer ``a`` (or equal levels), one the longer ``b``, and the
+    shorter side is put into the bins of all levels that the longer side has. A pair
+    counts only in the later of its two first bins, so it appears once.
     """
-    left = _binned(a, bin_width)
-    right = _binned(b, bin_width)
-    right = right.select([F.col(c).alias(c if c in {"_bin", *keys} else prefix + c) for c in right.columns])
+    left, right = _leveled(a, bin_width), _leveled(b, bin_width)
+    renamed = [F.col(c).alias(c if c in {"_bin", "_level", *keys} else prefix + c) for c in [*b.columns, "_level", "_bin", "_first"]]
     s, e = F.greatest("start", prefix + "start"), F.least("end", prefix + "end")
-    joined = left.join(right, [*keys, "_bin"]).filter(
-        (F.col("start") < F.col(prefix + "end"))
-        & (F.col(prefix + "start") < F.col("end"))
-        & (F.col("_bin") == F.greatest("_first", prefix + "_first"))
-    )
     kept = [*a.columns, *(prefix + c for c in b.columns if c not in keys)]
-    return joined.select(*kept, (e - s).alias("overlap"))
+
+    def raised(df: DataFrame, levels: list[int], strictly: bool) -> DataFrame:
+        above = F.filter(F.array(*[F.lit(n) for n in levels]), lambda n: n > F.col("_own") if strictly else n >= F.col("_own"))
+        return df.withColumnRenamed("_level", "_own").withColumn("_level", F.explode(above)).drop("_own")
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        joined = _in_bins(x, bin_width).join(_in_bins(y, bin_width).select(*renamed), [*keys, "_level", "_bin"])
+        return joined.filter(
+            (F.col("start") < F.col(prefix + "end"))
+            & (F.col(prefix + "start") < F.col("end"))
+            & (F.col("_bin") == F.greatest("_first", prefix + "_first"))
+        ).select(*kept, (e - s).alias("overlap"))
+
+    levels = lambda df: sorted(r[0] for r in df.select("_level").distinct().collect())  # a few numbers
+    of_left, of_right = levels(left), levels(right)
+    out = met(left, raised(right, of_left or [0], False))
+    if any(n > of_left[0] for n in of_right) if of_left else False:
+        out = out.unionByName(met(raised(left, of_right, True), right))
+    return out
 
 
 def overlap_left_outer(

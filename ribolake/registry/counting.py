@@ -8,6 +8,7 @@ from ..operators import counts as ct
 from ..operators import intervals as iv
 from ..operators import panels as pl
 from ..operators import taxonomy as tx
+from ..operators.staging import stage
 from ..plans import assembly, classification, novel, preprocessing
 from . import alignment as ra
 from . import intervals as ri
@@ -200,6 +201,27 @@ def pipeline_summary(t):
     return ct.pipeline_summary(_summaries(t))
 
 
+# The branch of new loci from the reads on; every third candidate is in the hit table.
+_BRANCH_IV = f"""with {_CAN}, {ra.contigs_sql('g', 'assistant')}, {ra.hits_sql('h', 'uniq', 'g', 1)},
+ bs as (select * from (select *, min(mm) over (partition by seq) m from h) x where mm=m),
+ iv as (select sample, ref_id contig, pos s, pos+length(bs.seq) e, bs.strand, read_id rid from clean join bs on clean.seq=bs.seq),
+ feats as (select contig, s, e, ftype, strand, name aid from can)"""
+_BRANCH = f"""{_BRANCH_IV}, {ri.MERGED.strip()},
+ named as (select *, concat('cluster_',cast(row_number() over (partition by sample order by case strand when '+' then 0 else 1 end, contig, s) as varchar)) name from merged),
+ kept as (select * from named where e-s between 18 and 250), supported as (select * from kept where support>=1){ri.ANN.replace("from an where ftype not in ('region','source')", "from feats")},
+ found as (select sample,contig,s,e,strand,name,'intergenic' kind from intergenic union all select sample,contig,s,e,strand,name,'antisense' from anti_rows),
+ cut as (select f.*, concat(f.contig,':',cast(f.s as varchar),'-',cast(f.e as varchar),'(',f.strand,')') fasta_id, substring(g.dna,cast(s+1 as int),cast(e-s as int)) w from found f join g on g.ref_id=f.contig)
+ select sample, kind, name, fasta_id, case strand when '-' then reverse(translate(w,'ACGT','TGCA')) else w end seq from cut where s%3<>0"""
+
+
+@query("an ct uniq clean", _BRANCH)
+def novel_branch(t):
+    """Alignment, clusters, candidates, sequences and exclusion of family hits."""
+    found = stage(novel.novel_from_reads(t("clean"), ra.contigs(t, "assistant"), _contig_annotation(t), min_reads=1)["sequences"], "found")
+    hits = found.filter("start % 3 = 0").select(F.col("fasta_id").alias("query"))
+    return iv.without_family_hit(found, hits).select("sample", "kind", "name", "fasta_id", "seq")
+
+
 # Panels.
 
 @query("nc", "select ref_id, description, seq from nc where starts_with(ref_id,'hsa')")

@@ -109,10 +109,10 @@ TABLES: dict[str, str] = {
  from conversations""",
     # Reads: windows over whole documents, panels and contigs.
     "rd": "select doc_id, i, w seq from (" + _CUT.format(
-        key="doc_id", step=30, size="15+(doc_id*7+i*3)%45", source="(select doc_id, @dna(text) dna from documents) d"
+        key="doc_id", step=15, size="15+(doc_id*7+i*3)%45", source="(select doc_id, @dna(text) dna from documents) d"
     ) + ") x",
     "sp": _SPIKE.format(key="item_id", cut=_CUT.format(key="item_id", step=11, size="18+(i*5)%23", source="pn")),
-    "sc": _SPIKE.format(key="ctid", cut=_CUT.format(key="ctid", step=40, size="16+(i*7)%33", source="ct")),
+    "sc": _SPIKE.format(key="ctid", cut=_CUT.format(key="ctid", step=16, size="16+(i*7)%33", source="ct")),
     "inserts": """
  select concat('S',cast(doc_id%4 as string)) sample, concat('d',cast(doc_id as string),'_',cast(i as string)) read_id, seq insert_seq, doc_id+i k from rd
  union all
