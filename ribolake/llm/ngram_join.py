@@ -41,7 +41,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textbatch
 from .common import join_small, stage, text_of
@@ -122,50 +122,51 @@ def signatures(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, share: i
 
 
 def classed(docs: DataFrame, n: int, share: int) -> DataFrame:
-    """Id, text key, set size, class (null without tokens) and signatures of every document."""
+    """Id, text key, set size, class (null without tokens), counts and signatures of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, rows, tokens in token_sets(batch.column("text"), n):
                 sizes = np.bincount(rows, minlength=end - first)
+                vectors = count_vectors(rows, tokens, end - first)
                 sig_rows, sigs = signatures(rows, tokens, sizes, share)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(sig_rows, minlength=end - first))))
                 part = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_key"), pa.array(sizes),
-                     pa.array(class_ids(rows, tokens, sizes), mask=sizes == 0),
+                     pa.array(class_ids(rows, tokens, sizes), mask=sizes == 0), vectors,
                      pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(sigs))],
-                    names=["doc_id", "text_key", "n_shingles", "cls", "sigs"],
+                    names=["doc_id", "text_key", "n_shingles", "cls", "vector", "sigs"],
                 )
 
     text = text_of(docs)
     return docs.select(
         docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")
-    ).mapInArrow(run, "doc_id bigint, text_key bigint, n_shingles bigint, cls bigint, sigs array<bigint>")
+    ).mapInArrow(run, "doc_id bigint, text_key bigint, n_shingles bigint, cls bigint, vector array<int>, sigs array<bigint>")
 
 
-def count_vectors(rows: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
+def count_vectors(rows: np.ndarray, tokens: np.ndarray, n: int) -> pa.ListArray:
+    """Token counts of every text in ``VECTOR`` fixed groups."""
     group = (textbatch.mixed(tokens) >> np.uint64(58)).astype(np.int64)
-    return np.bincount(rows * VECTOR + group, minlength=n * VECTOR).reshape(n, VECTOR)
+    counts = np.bincount(rows * VECTOR + group, minlength=n * VECTOR).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * VECTOR), pa.array(counts))
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, n_wanted: int, n: int) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """Sorted tokens and count vector of every wanted class, from one document of each.
 
-    ``wanted(cls, rep_id, rep_key)`` names that document.
+    ``wanted(cls, rep_id, rep_key)``, a written table, names that document. Written.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, rows, tokens in token_sets(batch.column("text"), n):
                 sizes = np.bincount(rows, minlength=end - first)
-                vectors = count_vectors(rows, tokens, end - first)
                 ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                steps = np.arange(end - first + 1, dtype=np.int32) * VECTOR
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(class_ids(rows, tokens, sizes)), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(steps), pa.array(vectors.ravel().astype(np.int32)))],
+                     count_vectors(rows, tokens, end - first)],
                     names=["cls", "n", "tokens", "vector"],
                 )
 
@@ -175,20 +176,35 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n_wanted: int, n: int) -> DataFr
         text.alias("text"),
     )
     ids = wanted.select(F.coalesce("rep_id", F.lit(-1 << 63)).alias("rep_id"), "rep_key")
-    found = join_small(keyed, ids, ["rep_id", "rep_key"], n_wanted, 16).select("text")
-    return found.mapInArrow(run, "cls bigint, n bigint, tokens array<bigint>, vector array<int>").dropDuplicates(["cls"])
+    found = join_small(keyed, ids, ["rep_id", "rep_key"], wanted.count(), 16, limit=SIGNATURE_LIMIT).select("text")
+    sets = stage(found.mapInArrow(run, "cls bigint, n bigint, tokens array<bigint>, vector array<int>"), "join-sets")
+    # Only repeated rows give a class twice.
+    rows, classes = sets.agg(F.count("*"), F.count_distinct("cls")).first()
+    return sets if rows == classes else stage(sets.dropDuplicates(["cls"]), "join-sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """The pairs ``(a, b)`` that link: bound by the count vectors first, then the sets."""
-    side = lambda x: sets.select(*[F.col(c).alias(f"{x}_{c}" if c != "cls" else x) for c in sets.columns])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def sides(pairs: DataFrame, content: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` with the columns of both classes, prefixed."""
+    side = lambda x: content.select(*[F.col(c).alias(f"{x}_{c}" if c != "cls" else x) for c in content.columns])
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def enough(common: Column, share: int) -> Column:
+    return (100 + share) * common >= share * (F.col("a_n") + F.col("b_n"))
+
+
+def possible(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """The pairs whose summed coordinate minima allow a link."""
     bound = F.aggregate(
         F.zip_with("a_vector", "b_vector", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
     )
-    total = F.col("a_n") + F.col("b_n")
-    enough = lambda common: (100 + share) * common >= share * total
-    return both.filter(enough(bound)).filter(enough(F.size(F.array_intersect("a_tokens", "b_tokens")))).select("a", "b")
+    return sides(pairs, classes.select("cls", "n", "vector")).filter(enough(bound, share)).select("a", "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The pairs that link."""
+    both = sides(pairs, sets.select("cls", "n", "tokens"))
+    return both.filter(enough(F.size(F.array_intersect("a_tokens", "b_tokens")), share)).select("a", "b")
 
 
 def pages_of(vectors: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +317,7 @@ def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool)
     return keyed.groupBy("task").applyInPandas(run, schema)
 
 
-def residual_links(members: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def residual_links(docs: DataFrame, members: DataFrame, roots: DataFrame, classes: DataFrame, n: int, share: int) -> DataFrame:
     """Links inside signatures whose members the pivots left in several components.
 
     The vectors of each signature's members come first: what they may connect is a
@@ -310,22 +326,32 @@ def residual_links(members: DataFrame, roots: DataFrame, sets: DataFrame, share:
     rooted = lambda df: df.join(roots, df["cls"] == roots["node"], "left").drop("node").withColumn(
         "root", F.coalesce("root", "cls")
     )
-    likely = stage(between_roots(rooted(members.select(F.col("sig").alias("group"), "cls")), sets, share, False), "join-likely")
+    groups = rooted(members.select(F.col("sig").alias("group"), "cls"))
+    likely = stage(between_roots(groups, classes.select("cls", "n", "vector"), share, False), "join-likely")
     if not likely.limit(1).count():
         return likely
     known = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     families = components(likely.union(known)).select(F.col("root").alias("group"), F.col("node").alias("cls"))
-    return between_roots(rooted(families), sets, share, True)
+    # Families that are one component already need no second look.
+    groups = stage(rooted(families), "join-families")
+    mixed = stage(
+        groups.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("group"),
+        "join-mixed",
+    )
+    groups = stage(join_small(groups, mixed, ["group"], mixed.count(), 16), "join-families")
+    wanted = stage(classes.join(groups.select("cls"), "cls", "left_semi").select("cls", "rep_id", "rep_key"), "join-wanted")
+    return between_roots(groups, sets_of(docs, wanted, n), share, True)
 
 
 def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     """Id, text key, set size and component of every document; a written table."""
-    rows = stage(classed(docs, n, share), "join-classes")
+    rows = stage(classed(docs, n, share), "join-rows")
     narrow = rows.select("doc_id", "text_key", "n_shingles", "cls")
     classes = stage(
-        narrow.filter("cls is not null").groupBy("cls").agg(
-            F.min("doc_id").alias("rep_id"), F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("rep_key")
-        ), "join-reps",
+        rows.filter("cls is not null").groupBy("cls").agg(
+            F.first("n_shingles").alias("n"), F.first("vector").alias("vector"), F.min("doc_id").alias("rep_id"),
+            F.min_by("text_key", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("rep_key"),
+        ), "join-classes",
     )
     emitted = rows.select("cls", F.explode("sigs").alias("sig"))
     repeated = stage(
@@ -336,18 +362,17 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
         join_small(emitted, repeated, ["sig"], repeated.count(), 16, limit=SIGNATURE_LIMIT).distinct(), "join-members"
     )
     sizes = members.groupBy("sig").agg(F.count("*").alias("size"))
-    ties = members.join(sizes, "sig").groupBy("cls").agg(F.sum("size").alias("ties"))
-    ties = stage(ties, "join-ties")
+    ties = stage(members.join(sizes, "sig").groupBy("cls").agg(F.sum("size").alias("ties")), "join-ties")
     pivots = members.join(ties, "cls").groupBy("sig").agg(F.max(F.struct("ties", "cls")).alias("pivot"))
-    pairs = stage(
-        members.join(pivots.select("sig", F.col("pivot.cls").alias("pivot")), "sig").filter("cls <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct(), "join-pairs",
-    )
-    wanted = stage(classes.join(ties.select("cls"), "cls", "left_semi"), "join-wanted")
-    sets = stage(sets_of(docs, wanted, wanted.count(), n), "join-sets")
-    links = stage(verified(pairs, sets, share), "join-links")
+    pairs = members.join(pivots.select("sig", F.col("pivot.cls").alias("pivot")), "sig").filter("cls <> pivot").select(
+        F.col("pivot").alias("a"), F.col("cls").alias("b")
+    ).distinct()
+    pairs = stage(possible(pairs, classes, share), "join-pairs")
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    wanted = stage(classes.join(ends, "cls", "left_semi").select("cls", "rep_id", "rep_key"), "join-wanted")
+    links = stage(verified(pairs, sets_of(docs, wanted, n), share), "join-links")
     roots = stage(components(links), "join-roots")
-    more = stage(residual_links(members, roots, sets, share), "join-more")
+    more = stage(residual_links(docs, members, roots, classes, n, share), "join-more")
     if more.limit(1).count():
         bridges = more.select("a", "b").union(roots.filter("node <> root").select("node", "root"))
         roots = stage(components(bridges), "join-roots")
