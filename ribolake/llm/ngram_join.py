@@ -415,3 +415,17 @@ def one_of_each(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
         twice = join_small(kept, again, on, n_again, 16, "left_semi").dropDuplicates(on)
         kept = join_small(kept, again, on, n_again, 16, "left_anti").unionByName(twice)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def oracle_sql(n: int, share: int) -> str:
+    """The same by counting shared tokens of all pairs and following links; for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') w from documents),
+    s as (select distinct doc_id, array_to_string(w[i:i + {n - 1}], ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - {n - 1}, 1) + 1)) i from w where len(w) > 0)),
+    c as (select doc_id, count(*) n from s group by doc_id),
+    p as (select a.doc_id a, b.doc_id b, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+    l as (select a, b from p join c x on x.doc_id = a join c y on y.doc_id = b where 100 * k >= {share} * (x.n + y.n - k)),
+    e as (select a, b from l union all select b, a from l),
+    r(doc_id, o) as (select doc_id, doc_id from documents union select r.doc_id, e.b from r join e on e.a = r.o)
+    select r.doc_id, coalesce(max(c.n), 0) n_shingles, min(o) component_id from r left join c on c.doc_id = r.doc_id group by r.doc_id"""

@@ -75,4 +75,4 @@ from p
 """
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op6_line_runs, op7_prefix_forest, op8_concat_and_cut, op9_water_filling, op10_licenses)}
-ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL}
+ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op5_ngram_jaccard": ngram_join.oracle_sql(3, 90), "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL}
