@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ribolake.operators.staging import join_side, stage
 
-__all__ = ["SPACE", "WORD", "bound", "count_words", "documents", "join_small", "source_key", "stage", "table", "text_of", "words"]
+__all__ = ["SPACE", "WORD", "bound", "count_words", "discard", "documents", "join_small", "source_key", "stage", "table", "text_of", "words"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -48,6 +50,17 @@ def source_key(column: Column) -> Column:
     return F.when(column.isNull(), F.lit("b")).otherwise(F.concat(F.lit("a"), column))
 
 
+def discard(written: DataFrame) -> None:
+    """Delete a written table that nothing reads any more, and let Spark drop old shuffle files."""
+    spark = written.sparkSession
+    files = written.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def join_small(df: DataFrame, side: DataFrame, on: list[str], rows: int, row_bytes: int = 128, how: str = "inner", limit: int = 500_000) -> DataFrame:
     """Join a written side of ``rows`` rows: broadcast up to the size bound, sort-merge beyond it."""
     return df.join(join_side(side, rows, row_bytes, limit), on, how)

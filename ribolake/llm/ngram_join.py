@@ -44,12 +44,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textbatch
-from .common import join_small, stage, text_of
+from .common import discard, join_small, stage, text_of
 from .graph import components
 
 SIZE_STEP = 1.35
 CHUNK_TOKENS = 1 << 20
-VECTOR = 64
+VECTOR_BITS = 8  # unrelated sets of up to some 6,000 tokens differ by more than a link allows
+VECTOR = 1 << VECTOR_BITS
 PAGE = 32
 SIGNATURE_LIMIT = 2_000_000  # signatures of 8 bytes that may be broadcast
 
@@ -147,7 +148,7 @@ def classed(docs: DataFrame, n: int, share: int) -> DataFrame:
 
 def count_vectors(rows: np.ndarray, tokens: np.ndarray, n: int) -> pa.ListArray:
     """Token counts of every text in ``VECTOR`` fixed groups."""
-    group = (textbatch.mixed(tokens) >> np.uint64(58)).astype(np.int64)
+    group = (textbatch.mixed(tokens) >> np.uint64(64 - VECTOR_BITS)).astype(np.int64)
     counts = np.bincount(rows * VECTOR + group, minlength=n * VECTOR).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * VECTOR), pa.array(counts))
 
@@ -346,7 +347,7 @@ def residual_links(docs: DataFrame, members: DataFrame, roots: DataFrame, classe
 def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     """Id, text key, set size and component of every document; a written table."""
     rows = stage(classed(docs, n, share), "join-rows")
-    narrow = rows.select("doc_id", "text_key", "n_shingles", "cls")
+    narrow = stage(rows.select("doc_id", "text_key", "n_shingles", "cls"), "join-narrow")
     classes = stage(
         rows.filter("cls is not null").groupBy("cls").agg(
             F.first("n_shingles").alias("n"), F.first("vector").alias("vector"), F.min("doc_id").alias("rep_id"),
@@ -361,6 +362,7 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     members = stage(
         join_small(emitted, repeated, ["sig"], repeated.count(), 16, limit=SIGNATURE_LIMIT).distinct(), "join-members"
     )
+    discard(rows)  # what is still needed of it is written
     sizes = members.groupBy("sig").agg(F.count("*").alias("size"))
     ties = stage(members.join(sizes, "sig").groupBy("cls").agg(F.sum("size").alias("ties")), "join-ties")
     pivots = members.join(ties, "cls").groupBy("sig").agg(F.max(F.struct("ties", "cls")).alias("pivot"))
