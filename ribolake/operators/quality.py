@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.sequence import count_of
 
@@ -24,16 +24,22 @@ def position_profile(reads: DataFrame, stage_name: str = "raw") -> DataFrame:
     ).withColumn("stage", F.lit(stage_name))
 
 
-def quality_quantiles(reads: DataFrame, stage_name: str = "raw", accuracy: int = 10_000) -> DataFrame:
-    """Approximate quartiles of quality per sample and base position."""
+def quality_quantiles(reads: DataFrame, stage_name: str = "raw") -> DataFrame:
+    """Exact quartiles of quality per sample and base position, from counts per quality value.
+
+    A quartile is the smallest value at or below which a quarter, half or three quarters
+    of the bases lie. There are at most 94 values at a position.
+    """
     at = reads.select("sample", "qual", F.explode(F.sequence(F.lit(1), F.length("seq"))).alias("position")).select(
         "sample", "position", (F.ascii(F.substring("qual", F.col("position"), F.lit(1))) - 33).alias("phred")
     )
-    q = F.percentile_approx("phred", [0.25, 0.5, 0.75], accuracy)
-    return at.groupBy("sample", "position").agg(q.alias("q")).select(
-        F.lit(stage_name).alias("stage"), "sample", "position",
-        F.col("q")[0].alias("lower"), F.col("q")[1].alias("median"), F.col("q")[2].alias("upper"),
-    )
+    counts = at.groupBy("sample", "position", "phred").agg(F.count("*").alias("n"))
+    place = Window.partitionBy("sample", "position")
+    summed = counts.withColumn("upto", F.sum("n").over(place.orderBy("phred"))).withColumn("total", F.sum("n").over(place))
+    reached = lambda quarters: F.min(F.when(4 * F.col("upto") >= quarters * F.col("total"), F.col("phred")))
+    return summed.groupBy("sample", "position").agg(
+        reached(1).alias("lower"), reached(2).alias("median"), reached(3).alias("upper")
+    ).select(F.lit(stage_name).alias("stage"), "sample", "position", "lower", "median", "upper")
 
 
 def gc_histogram(reads: DataFrame, stage_name: str = "raw") -> DataFrame:
