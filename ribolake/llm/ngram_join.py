@@ -271,6 +271,9 @@ def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool)
     The members outside the group's largest component are the queries, all members the
     index; both are cut into chunks of bounded size, and every chunk of queries meets
     every chunk of the index.
+
+    A signature of two members has its only pair verified with the pivot. A family of two
+    classes has not: they may come from signatures whose pivot is a third class.
     """
     weight = F.col("n") if exact else F.lit(VECTOR)
     known = stage(members.join(sets.select("cls", "n"), "cls").select("group", "cls", "root", weight.alias("weight")), "join-known")
@@ -280,7 +283,7 @@ def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool)
     lists = parts.groupBy("group").agg(
         F.max(F.struct("size", "total", "root")).alias("main"), F.sum("total").alias("total"), F.sum("size").alias("size"),
         F.bit_xor("list").alias("list"),
-    ).filter("size > 2 and size > main.size")
+    ).filter("size > main.size" if exact else "size > 2 and size > main.size")
     chunks = lambda amount: F.ceil(amount / CHUNK_TOKENS).cast("int")
     # Groups with the same members are searched once.
     open_ = stage(

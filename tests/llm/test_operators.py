@@ -9,6 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -316,6 +317,40 @@ def test_join_of_many_near_copies(spark):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_join_of_two_classes_beside_a_far_pivot(spark):
+    """Two sets that link share one signature, and its pivot is a third set that links with neither."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+
+    def emitted(sets):
+        rows, tokens = next(ngram_join.token_sets(pa.array([" ".join(x) for x in sets]), 1))[2:]
+        sizes = np.bincount(rows, minlength=len(sets))
+        owner, sigs = ngram_join.signatures(rows, tokens, sizes, 90)
+        return [set(sigs[owner == i].tolist()) for i in range(len(sets))]
+
+    for _ in range(50):
+        both = [word() for _ in range(38)]
+        u, v = both + [word(), word()], both + [word(), word()]
+        a, b = emitted([u, v])
+        # The words that the shared signatures need, and others that leave them as they are.
+        needed = [w for w, left in zip(both, emitted([[x for x in u if x != w] for w in both])) if not a & b <= left]
+        fresh = [word() for _ in range(200)]
+        fresh = [w for w, more in zip(fresh, emitted([[*u, w] for w in fresh])) if a & b <= more][: 41 - len(needed)]
+        p, q = needed + fresh[:-1], needed + fresh[1:]
+        if len(needed) < 30 and len(p) == 40:
+            c, d = emitted([p, q])
+            if a & b and a & b < c & d:
+                break
+    else:
+        raise AssertionError("no such sets")
+    texts = [" ".join(x) for x in (u, v, p, q)]
+    docs = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA)
+    got = ngram_join.joined(docs, 1, 90).collect()
+    want = plain_components(list(enumerate(texts)), 1, 90)
+    assert sorted(want) == [(0, 40, 0), (1, 40, 0), (2, 40, 2), (3, 40, 2)]
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_join_in_small_chunks(many, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK_TOKENS", 300)
     rows = [(r.doc_id, r.text) for r in many.collect()]
