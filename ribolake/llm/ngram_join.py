@@ -21,8 +21,9 @@ the largest component query it. A page is skipped if the sum of the smaller coor
 of the query and the page's upper corner is below the overlap that a link needs. What
 the vectors alone may connect is a family; its members are searched once more and the
 surviving pairs that are not yet connected verified on the whole sets. Large groups are
-cut into chunks, one task for a chunk of queries and a chunk of the index, so no task
-holds more than two of them.
+cut into chunks, and a chunk of queries and a chunk of the index are a task of their
+own; small groups share a task up to the same size. So no task holds more than about two
+chunks (a set is never cut, and chunks are dealt by hash).
 
 Every bound is exact, no candidate is dropped or capped. Classes are told apart by 64
 bits of hash over all tokens and the set size.
@@ -41,7 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import textbatch
 from .common import discard, join_small, stage, text_of
@@ -52,6 +53,7 @@ CHUNK_TOKENS = 1 << 20
 VECTOR_BITS = 8  # unrelated sets of up to some 6,000 tokens differ by more than a link allows
 VECTOR = 1 << VECTOR_BITS
 PAGE = 32
+BUCKET_GROUPS = 10_000  # groups that are packed into tasks by one running sum
 SIGNATURE_LIMIT = 2_000_000  # signatures of 8 bytes that may be broadcast
 
 
@@ -265,6 +267,24 @@ def linked_in(index: pd.DataFrame, queries: pd.DataFrame, share: int, exact: boo
     return links
 
 
+def packed_groups(groups: DataFrame) -> DataFrame:
+    """Add ``bucket`` and ``pack`` to ``groups(group, chunks, query_chunks, work)``. Written.
+
+    Groups whose index and queries weigh at most a chunk are dealt to buckets, and a
+    bucket is cut by its running weight: a pack weighs less than two chunks. Every other
+    group is a pack of its own, further cut by its chunks.
+    """
+    groups = stage(groups, "join-groups")
+    buckets = groups.count() // BUCKET_GROUPS + 1
+    small = F.col("work") <= CHUNK_TOKENS
+    before = Window.partitionBy("bucket").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    packed = groups.filter(small).withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("int")).withColumn(
+        "pack", F.floor(F.coalesce(F.sum("work").over(before), F.lit(0)) / CHUNK_TOKENS)
+    )
+    alone = groups.filter(~small).select("*", F.lit(-1).alias("bucket"), F.col("group").alias("pack"))
+    return stage(packed.union(alone), "join-open")
+
+
 def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool) -> DataFrame:
     """Pairs that connect different roots inside each group of ``members(group, cls, root)``.
 
@@ -286,29 +306,26 @@ def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool)
     ).filter("size > main.size" if exact else "size > 2 and size > main.size")
     chunks = lambda amount: F.ceil(amount / CHUNK_TOKENS).cast("int")
     # Groups with the same members are searched once.
-    open_ = stage(
+    open_ = packed_groups(
         lists.groupBy("size", "list").agg(F.min(F.struct("group", "main", "total")).alias("g")).select(
             "g.group", F.col("g.main.root").alias("main"), chunks(F.col("g.total")).alias("chunks"),
             chunks(F.col("g.total") - F.col("g.main.total")).alias("query_chunks"),
             (2 * F.col("g.total") - F.col("g.main.total")).alias("work"),
-        ), "join-open",
+        )
     )
-    count, work = open_.agg(F.count("*"), F.coalesce(F.sum("work"), F.lit(0))).first()
+    count = open_.count()
     schema = "a bigint, b bigint"
     if not count:
         return members.sparkSession.createDataFrame([], schema)
-    rows = join_small(known.drop("weight"), open_, ["group"], count, 32)
+    rows = join_small(known.drop("weight"), open_, ["group"], count, 48)
     place = lambda salt, n: F.pmod(F.xxhash64("cls", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = rows.select("group", "cls", "root", F.lit(False).alias("query"), place(1, "chunks").alias("i"), every("query_chunks").alias("j"))
+    index = rows.select("group", "bucket", "pack", "cls", "root", F.lit(False).alias("query"), place(1, "chunks").alias("i"), every("query_chunks").alias("j"))
     queries = rows.filter("root <> main").select(
-        "group", "cls", "root", F.lit(True).alias("query"), every("chunks").alias("i"), place(2, "query_chunks").alias("j")
+        "group", "bucket", "pack", "cls", "root", F.lit(True).alias("query"), every("chunks").alias("i"), place(2, "query_chunks").alias("j")
     )
-    tasks = max(1, work // (2 * CHUNK_TOKENS) + 1)
     content = sets if exact else sets.select("cls", "n", "vector")
-    keyed = index.union(queries).join(content, "cls").withColumn(
-        "task", F.pmod(F.xxhash64("group", "i", "j"), F.lit(tasks)).cast("int")
-    )
+    keyed = index.union(queries).join(content, "cls")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         links = []
@@ -318,7 +335,7 @@ def between_roots(members: DataFrame, sets: DataFrame, share: int, exact: bool)
                 links += linked_in(group[~asked], group[asked], share, exact)
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    return keyed.groupBy("task").applyInPandas(run, schema)
+    return keyed.groupBy("bucket", "pack", "i", "j").applyInPandas(run, schema)
 
 
 def residual_links(docs: DataFrame, members: DataFrame, roots: DataFrame, classes: DataFrame, n: int, share: int) -> DataFrame:

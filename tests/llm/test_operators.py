@@ -358,6 +358,32 @@ def test_join_in_small_chunks(many, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_components(rows, 5, 80)
 
 
+def test_search_tasks_hold_two_chunks(spark, monkeypatch):
+    """One group of many chunks and many small groups: no pandas group gets more than two chunks."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ngram_join, "CHUNK_TOKENS", 64 * ngram_join.VECTOR)
+    members = spark.range(1000).selectExpr("0L group", "id cls", "id root").union(
+        spark.range(2000).selectExpr("1 + id div 4 group", "5000 + id cls", "5000 + id root"))
+    sets = members.select("cls", F.lit(10).cast("bigint").alias("n"), F.array_repeat(F.lit(0), ngram_join.VECTOR).alias("vector"))
+    seen = []
+
+    class Grouped:
+        def __init__(self, grouped):
+            self.grouped = grouped
+
+        def applyInPandas(self, run, schema):
+            seen.extend(r["count"] for r in self.grouped.count().collect())
+            return self.grouped.applyInPandas(run, schema)
+
+    frame = type(members)
+    plain = frame.groupBy
+    monkeypatch.setattr(frame, "groupBy", lambda self, *on: Grouped(plain(self, *on)) if {"query"} <= set(self.columns) else plain(self, *on))
+    assert ngram_join.between_roots(members, sets, 80, False).count() == 0
+    # 1000 vectors in 16 chunks of some 62, dealt by hash, against 16 of queries; small groups of 7 rows.
+    assert sum(seen) == 2 * 16 * 1000 - 16 + 500 * 7 and max(seen) <= 2 * 64 * 1.5
+
+
 def test_tree_pages_never_lose_a_point():
     rng = np.random.default_rng(3)
     vectors = rng.poisson(3, (500, ngram_join.VECTOR))
