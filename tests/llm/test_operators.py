@@ -531,3 +531,13 @@ def test_licences_are_named_or_unknown(spark, many, odd, empty):
     assert got[1001].spans == "1:mit" and all(got[i].families == "" for i in range(120))
     assert len(licenses.scanned(odd).collect()) == len(odd_rows())
     assert licenses.scanned(empty).count() == 0
+
+
+def test_licences_without_a_cue_and_over_two_lines(spark, many):
+    texts = ["Distributed under GPLv3", "under the terms of the GNU GPL", "Released under the MIT terms", "CC BY-SA 4.0", "under the Apache 2.0 terms"]
+    wrapped = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files, to deal in\nthe Software without restriction."
+    extra = [row(1001 + i, f"stone river\n{t}\npaper light") for i, t in enumerate(texts)] + [row(1010, wrapped), row(1011, "License")]
+    got = {r.doc_id: r for r in licenses.scanned(many.union(spark.createDataFrame(extra, SCHEMA))).collect()}
+    assert [got[1001 + i].spans for i in range(5)] == ["1:gpl", "1:gpl", "1:mit", "1:cc-by-sa", "1:apache"]
+    assert got[1010].spans == "0:mit" and got[1011].spans == "0:unknown"
+    assert all(got[i].families == "" for i in range(120))
