@@ -365,7 +365,11 @@ def residual_links(docs: DataFrame, members: DataFrame, roots: DataFrame, classe
 
 
 def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
-    """Id, text key, set size and component of every document; a written table."""
+    """Id, text key, set size and component of every document; a written table.
+
+    ``component_key`` is the text key of the component's first document: the one of the
+    smallest id, null last, and of the smallest key among rows of that id.
+    """
     rows = stage(classed(docs, n, share), "join-rows")
     narrow = stage(rows.select("doc_id", "text_key", "n_shingles", "cls"), "join-narrow")
     classes = stage(
@@ -398,15 +402,16 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     if more.limit(1).count():
         bridges = more.select("a", "b").union(roots.filter("node <> root").select("node", "root"))
         roots = stage(components(bridges), "join-roots")
-    named = classes.select("cls", "rep_id").join(roots, classes["cls"] == roots["node"], "left").select(
-        "cls", "rep_id", F.coalesce("root", "cls").alias("root")
+    named = classes.select("cls", "rep_id", "rep_key").join(roots, classes["cls"] == roots["node"], "left").select(
+        "cls", "rep_id", "rep_key", F.coalesce("root", "cls").alias("root")
     )
-    least = named.groupBy("root").agg(F.min("rep_id").alias("component_id"))
-    ids = named.join(least, "root").select("cls", "component_id")
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "rep_key")).alias("first"))
+    ids = named.join(least, "root").select("cls", F.col("first.rep_id").alias("component_id"), F.col("first.rep_key").alias("component_key"))
     return stage(
         narrow.join(ids, "cls", "left").select(
             "doc_id", "text_key", "n_shingles", "cls",
             F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("component_key", "text_key").alias("component_key"),
         ), "join-components",
     )
 
@@ -414,16 +419,16 @@ def joined(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
 def one_of_each(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     """The documents without near copies: of each component the one with the smallest id.
 
-    Documents without words all stay. Rows equal in id and text stay once.
+    A null id comes last, and rows of one id are ordered by their text keys. Documents without words all stay. Rows equal in id and text stay once.
     """
     found = joined(docs, n, share)
     lost = stage(
-        found.filter("not (doc_id <=> component_id)").select(
+        found.filter("not (doc_id <=> component_id and text_key = component_key)").select(
             F.coalesce("doc_id", F.lit(-1 << 63)).alias("_join_id"), F.col("text_key").alias("_join_key")
         ).distinct(), "join-lost",
     )
     again = stage(
-        found.filter("cls is not null and doc_id <=> component_id").groupBy(
+        found.filter("cls is not null and doc_id <=> component_id and text_key = component_key").groupBy(
             F.coalesce("doc_id", F.lit(-1 << 63)).alias("_join_id"), F.col("text_key").alias("_join_key")
         ).count().filter("count > 1").select("_join_id", "_join_key"), "join-again",
     )

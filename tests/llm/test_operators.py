@@ -408,6 +408,19 @@ def test_one_of_each_component(odd, many, empty):
     assert ngram_join.one_of_each(empty).count() == 0 and ngram_join.joined(empty, 3, 90).count() == 0
 
 
+def test_one_of_near_copies_under_one_id_or_none(spark):
+    rng = random.Random(12)
+    groups = []
+    for _ in range(3):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(80)]
+        groups.append([" ".join(words), " ".join([*words, "more"]), " ".join([*words, "other"])])
+    ids = [(5, 5, 7), (None, None, None), (5, None, 5)]
+    rows = [row(i, t) for own, texts in zip(ids, groups) for i, t in zip(own, texts)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows + rows[:1] + rows[3:4], SCHEMA)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["5", "5", "None"]
+    assert [sum(r.text in texts for r in kept) for texts in groups] == [1, 1, 1]
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5000, 5000)]
