@@ -123,6 +123,17 @@ def test_encoder_equals_tokenizers():
         assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == encoder._slow_ids(text)
 
 
+def test_added_tokens_are_one_id():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    encoder = packing.encoder(tokenizer_path())
+    for text in ("stone river", "stone<|endoftext|>river", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n", "<|endoftext|"):
+        ids = np.frombuffer(encoder.encode([text])[0], "<u2").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+        assert ids.count(50256) == text.count("<|endoftext|>")
+
+
 # --- sharding
 
 
