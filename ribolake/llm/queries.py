@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, licenses, lines, mixing, ngram_join, packing, pii, quality, rules, sharding
+from . import ann, decontam, licenses, lines, merkle, mixing, ngram_join, packing, pii, quality, rules, sharding, trie
 from .common import documents, table
 
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -53,6 +54,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(documents(spark, sf_dir))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(documents(spark, sf_dir))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judged(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 OP9_SQL = r"""
 with d as (
   select doc_id, case when source is null then 'b' else 'a' || source end skey,
@@ -74,5 +87,12 @@ select doc_id, cast(size as bigint) size, source_size, target,
 from p
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op6_line_runs, op7_prefix_forest, op8_concat_and_cut, op9_water_filling, op10_licenses)}
-ORACLE = {"op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op5_ngram_jaccard": ngram_join.oracle_sql(3, 90), "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op6_line_runs, op7_prefix_forest, op8_concat_and_cut,
+    op9_water_filling, op10_licenses, op11_conversation_trie, op12_merkle_manifest, op13_decontamination,
+)}
+ORACLE = {
+    "op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op5_ngram_jaccard": ngram_join.oracle_sql(3, 90),
+    "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL, "op11_conversation_trie": trie.oracle_sql(),
+    "op12_merkle_manifest": merkle.oracle_sql(), "op13_decontamination": decontam.oracle_sql(),
+}
