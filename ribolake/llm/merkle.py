@@ -100,19 +100,19 @@ def digest(parts: list[str]) -> str:
 LOG = "tree string, n bigint, block bigint, level int, at bigint, place bigint, digest string"
 
 
-def append_round(nodes: DataFrame, base: int) -> DataFrame:
+def append_round(nodes: DataFrame, base: int, height: int) -> DataFrame:
     """Log rows of one round: ``nodes(tree, n, at, digest)`` are the nodes of level ``base``."""
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("at")
         tree, n = table.column("tree")[0].as_py(), table.column("n")[0].as_py()
         top = tree_height(n)
-        open_runs: list[list[str]] = [[] for _ in range(HEIGHT + 1)]
+        open_runs: list[list[str]] = [[] for _ in range(height + 1)]
         done = []
 
         def append(level: int, at: int, value: str) -> None:
             done.append((base + level, at, postorder(base + level, at, n), value))
-            if level < HEIGHT and base + level < top:
+            if level < height and base + level < top:
                 open_runs[level].append(value)
                 if at % FANOUT == FANOUT - 1 or at == width(n, base + level) - 1:
                     run, open_runs[level] = open_runs[level], []
@@ -128,33 +128,33 @@ def append_round(nodes: DataFrame, base: int) -> DataFrame:
         })
 
     ship(nodes.sparkSession)
-    cut = nodes.select("tree", "n", "at", "digest", F.floor(F.col("at") / FANOUT**HEIGHT).alias("block"))
+    cut = nodes.select("tree", "n", "at", "digest", F.floor(F.col("at") / FANOUT**height).alias("block"))
     return cut.groupBy("tree", "block").applyInArrow(build, LOG)
 
 
-def append_log(first: DataFrame, label: str) -> list[DataFrame]:
+def append_log(first: DataFrame, label: str, height: int = HEIGHT) -> list[DataFrame]:
     """The logs of all trees, one written table a round of builders."""
     rounds, nodes, base = [], first, 0
     largest = first.agg(F.max("n")).first()[0] or 0
     while True:
-        log = stage(append_round(nodes, base), f"{label}-log")
+        log = stage(append_round(nodes, base, height), f"{label}-log")
         rounds.append(log)
-        base += HEIGHT
+        base += height
         if width(largest, base) <= 1:
             return rounds
         nodes = log.filter((F.col("level") == base) & (F.ceil(F.col("n") / FANOUT**base) > 1)).select("tree", "n", "at", "digest")
 
 
-def tops(rounds: list[DataFrame]) -> DataFrame:
+def tops(rounds: list[DataFrame], height: int = HEIGHT) -> DataFrame:
     """The root of every tree: its last node in postorder."""
     out = None
     for i, log in enumerate(rounds):
         # The round that holds a tree's root is the one in which it has a single block.
-        last = log.filter(F.ceil(F.col("n") / FANOUT ** ((i + 1) * HEIGHT)) <= 1).groupBy("tree").agg(
+        last = log.filter(F.ceil(F.col("n") / FANOUT ** ((i + 1) * height)) <= 1).groupBy("tree").agg(
             F.max_by("digest", "place").alias("digest"), F.max("level").alias("level")
         ).select("tree", "digest")
         if i:
-            last = last.join(rounds[i - 1].filter(F.ceil(F.col("n") / FANOUT ** (i * HEIGHT)) > 1).select("tree").distinct(), "tree", "left_semi")
+            last = last.join(rounds[i - 1].filter(F.ceil(F.col("n") / FANOUT ** (i * height)) > 1).select("tree").distinct(), "tree", "left_semi")
         out = last if out is None else out.unionByName(last)
     return out
 
@@ -162,10 +162,10 @@ def tops(rounds: list[DataFrame]) -> DataFrame:
 STEPS = "array<struct<left:string,right:string>>"
 
 
-def block_steps(at: int, n: int, base: int, known: dict[int, str]) -> list[dict]:
+def block_steps(at: int, n: int, base: int, known: dict[int, str], height: int) -> list[dict]:
     """Siblings before and after a node of level ``base``, level by level up to its block's top."""
     steps, top = [], tree_height(n)
-    for level in range(base, min(base + HEIGHT, top)):
+    for level in range(base, min(base + height, top)):
         begin, size = at - at % FANOUT, width(n, level)
         steps.append({
             "left": "".join(known[postorder(level, i, n)] for i in range(begin, at)),
@@ -177,7 +177,9 @@ def block_steps(at: int, n: int, base: int, known: dict[int, str]) -> list[dict]
 
 def _with_upper(log: DataFrame, upper: DataFrame) -> DataFrame:
     """A block's log rows and one row with the path of its top: ``upper(tree, block, steps)``."""
-    return log.select("tree", "block", "n", "place", "digest", F.lit(None).cast(STEPS).alias("steps")).unionByName(
+    # Columns are named anew, as both sides of a cogroup come from one table.
+    own = [F.col(c).alias(c) for c in ("tree", "block", "n", "place", "digest")]
+    return log.select(*own, F.lit(None).cast(STEPS).alias("steps")).unionByName(
         upper.select("tree", "block", F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("place"),
                      F.lit(None).cast("string").alias("digest"), "steps")
     )
@@ -193,7 +195,7 @@ def _opened(log: pa.Table) -> tuple[dict[int, str], list[dict], int]:
     return known, upper, n
 
 
-def node_paths(log: DataFrame, upper: DataFrame, base: int) -> DataFrame:
+def node_paths(log: DataFrame, upper: DataFrame, base: int, height: int) -> DataFrame:
     """``tree``, ``block`` and the whole path of every node of level ``base``, as the next lower round takes it."""
 
     def run(nodes: pa.Table, rows: pa.Table) -> pa.Table:
@@ -201,7 +203,7 @@ def node_paths(log: DataFrame, upper: DataFrame, base: int) -> DataFrame:
         ats = nodes.column("at").to_pylist()
         return pa.table({
             "tree": nodes.column("tree"), "block": nodes.column("at"),
-            "steps": pa.array([block_steps(at, n, base, known) + above for at in ats], pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))),
+            "steps": pa.array([block_steps(at, n, base, known, height) + above for at in ats], pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))),
         })
 
     nodes = log.filter(F.col("level") == base).select("tree", "block", "at")
@@ -210,50 +212,50 @@ def node_paths(log: DataFrame, upper: DataFrame, base: int) -> DataFrame:
     )
 
 
-def upper_paths(rounds: list[DataFrame], roots: DataFrame, label: str) -> DataFrame:
+def upper_paths(rounds: list[DataFrame], roots: DataFrame, label: str, height: int) -> DataFrame:
     """Paths of the tops of the lowest blocks; ``roots(tree, steps)`` has the paths of whole trees."""
     upper = None
     for i in reversed(range(len(rounds))):
-        single = rounds[i].filter(F.ceil(F.col("n") / FANOUT ** ((i + 1) * HEIGHT)) <= 1)
+        single = rounds[i].filter(F.ceil(F.col("n") / FANOUT ** ((i + 1) * height)) <= 1)
         if i:
-            single = single.filter(F.ceil(F.col("n") / FANOUT ** (i * HEIGHT)) > 1)
+            single = single.filter(F.ceil(F.col("n") / FANOUT ** (i * height)) > 1)
         whole = single.select("tree").distinct().join(roots, "tree").select("tree", F.lit(0).cast("bigint").alias("block"), "steps")
         # Trees that end in this round begin with the path of their root, the others with that of their blocks.
         upper = whole if upper is None else upper.unionByName(whole)
         if i:
-            upper = stage(node_paths(rounds[i], upper, i * HEIGHT), f"{label}-paths")
+            upper = stage(node_paths(rounds[i], upper, i * height, height), f"{label}-paths")
     return upper
 
 
-def manifest(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame, list[DataFrame]]:
+def manifest(docs: DataFrame, height: int = HEIGHT) -> tuple[DataFrame, list[DataFrame], DataFrame, list[DataFrame]]:
     """Placed leaves, logs of the sources, placed subroots, and logs of the tree above them."""
     first = placed(stage(leaves(docs), "merkle-leaves"), ["doc_id", "leaf"], "merkle-placed")
-    rounds = append_log(first.withColumnRenamed("leaf", "digest"), "merkle")
-    subroots = stage(tops(rounds), "merkle-subroots").select(F.lit(TOP_TREE).alias("tree"), F.col("tree").alias("of"), "digest")
+    rounds = append_log(first.withColumnRenamed("leaf", "digest"), "merkle", height)
+    subroots = stage(tops(rounds, height), "merkle-subroots").select(F.lit(TOP_TREE).alias("tree"), F.col("tree").alias("of"), "digest")
     second = placed(subroots, ["of"], "merkle-top")
-    return first, rounds, second, append_log(second, "merkle-top")
+    return first, rounds, second, append_log(second, "merkle-top", height)
 
 
-def audited(docs: DataFrame) -> DataFrame:
+def audited(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
     """Every row with its leaf, subroot, root, proof checksum and the root its tampered leaf folds to."""
-    first, rounds, second, above = manifest(docs)
-    root = stage(tops(above), "merkle-root").select(F.col("tree").alias("_top"), F.col("digest").alias("root"))
+    first, rounds, second, above = manifest(docs, height)
+    root = stage(tops(above, height), "merkle-root").select(F.col("tree").alias("_top"), F.col("digest").alias("root"))
     no_steps = root.select(F.col("_top").alias("tree"), F.array().cast(STEPS).alias("steps"))
     # Paths of the subroots, lowest round of the tree above them.
-    upper = stage(upper_paths(above, no_steps, "merkle-top"), "merkle-top-upper")
-    of_top = node_paths(above[0], upper, 0).select(F.col("block").alias("at"), "steps")
+    upper = stage(upper_paths(above, no_steps, "merkle-top", height), "merkle-top-upper")
+    of_top = node_paths(above[0], upper, 0, height).select(F.col("block").alias("at"), "steps")
     subroots = stage(
         second.join(of_top, "at").join(root, F.col("tree") == F.col("_top")).select(
             F.col("of").alias("tree"), "steps", F.col("digest").alias("subroot"), "root"
         ), "merkle-sources",
     )
-    blocks = stage(upper_paths(rounds, subroots.select("tree", "steps"), "merkle"), "merkle-upper")
+    blocks = stage(upper_paths(rounds, subroots.select("tree", "steps"), "merkle", height), "merkle-upper")
 
     def check(rows: pa.Table, log: pa.Table) -> pa.Table:
         known, above_, n = _opened(log)
         proofs_, folded = [], []
         for at, value in zip(rows.column("at").to_pylist(), rows.column("shown").to_pylist()):
-            steps = block_steps(at, n, 0, known) + above_
+            steps = block_steps(at, n, 0, known, height) + above_
             proofs_.append(digest([s[side] for s in steps for side in ("left", "right")]))
             for s in steps:
                 value = digest([s["left"], value, s["right"]])
@@ -265,7 +267,7 @@ def audited(docs: DataFrame) -> DataFrame:
 
     rows = first.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "tree", "leaf", F.coalesce("tampered", "leaf").alias("shown"), "at",
-        F.floor(F.col("at") / FANOUT**HEIGHT).alias("block"),
+        F.floor(F.col("at") / FANOUT**height).alias("block"),
     )
     checked = rows.groupBy("tree", "block").cogroup(_with_upper(rounds[0], blocks).groupBy("tree", "block")).applyInArrow(
         check, "doc_id bigint, tree string, leaf string, proof_sha256 string, folded_root string"
