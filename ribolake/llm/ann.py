@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import join_small, stage
+from .common import join_small, ship, stage
 
 TREES = 128
 BITS = 20
@@ -133,6 +133,7 @@ def nearest(
     trees: int = TREES, bits: int = BITS, share: float = SHARE, block: int = BLOCK, seed: int = SEED,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest found for rows whose id is divisible by ``every``."""
+    ship(vectors.sparkSession)
     rows = usable(vectors, id_column, column)
     points = stage(points_of(rows, k), "ann-points")
     asks = stage(

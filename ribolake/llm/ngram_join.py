@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import textbatch
-from .common import discard, join_small, stage, text_of
+from .common import discard, join_small, ship, stage, text_of
 from .graph import components
 
 SIZE_STEP = 1.35
@@ -142,6 +142,7 @@ def classed(docs: DataFrame, n: int, share: int) -> DataFrame:
                     names=["doc_id", "text_key", "n_shingles", "cls", "vector", "sigs"],
                 )
 
+    ship(docs.sparkSession)
     text = text_of(docs)
     return docs.select(
         docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")

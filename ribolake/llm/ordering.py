@@ -28,11 +28,22 @@ def sorted_rows(df: DataFrame, group: str, order: Sequence[str | Column], keep:
     placed = df.withColumn("_tie", tie).orderBy(group, *order, "_tie").select(
         *keep, F.monotonically_increasing_id().alias("_place")
     )
-    return stage(placed, label).withColumn("_part", F.shiftright("_place", _SHIFT)).withColumn(
+    return _by_task(stage(placed, label))
+
+
+def _by_task(placed: DataFrame) -> DataFrame:
+    return placed.withColumn("_part", F.shiftright("_place", _SHIFT)).withColumn(
         "_row", F.col("_place").bitwiseAND((1 << _SHIFT) - 1)
     ).drop("_place")
 
 
+def any_places(df: DataFrame, group: str, label: str) -> DataFrame:
+    """Number the rows of each group from 0 as ``at``, in any order, without moving them between tasks; ``n`` counts them."""
+    placed = df.sortWithinPartitions(group).withColumn("_place", F.monotonically_increasing_id())
+    rows = _by_task(stage(placed, label))
+    return with_places(rows, starts(rows, group, f"{label}-starts"), group)
+
+
 def starts(placed: DataFrame, group: str, label: str) -> DataFrame:
     """Per task and group: first row, rows of the group in earlier tasks, and all its rows as ``n``."""
     counts = placed.groupBy(group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))

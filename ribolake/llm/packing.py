@@ -13,6 +13,7 @@ order of the stream is the order of the partitions read, so it follows the input
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,18 +24,21 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import join_small, stage
+from .common import join_small, ship, stage
 
 _SLICE_ROWS = 256
+LONG_RUN = 100_000
+_LONG_BLANKS = re.compile(rf"\s{{{LONG_RUN},}}")
 
 
 class Encoder:
     """Token ids of texts under a byte-level vocabulary file of the ``tokenizers`` library.
 
     The vocabulary runs in ``tiktoken``, which gives the same ids in a third of the time.
-    The first texts of every encoder are compared with ``tokenizers`` itself. Texts that
-    ``tiktoken`` cannot split go to ``tokenizers``, and so do texts that hold an added token
-    (``<|endoftext|>``), which is one id there.
+    The first texts of every encoder are compared with ``tokenizers`` itself. Texts with
+    ``LONG_RUN`` blanks in a row, which exhaust the pattern matcher of ``tiktoken``, go to
+    ``tokenizers``, as does any other text that ``tiktoken`` fails on, and texts that hold an
+    added token (``<|endoftext|>``), which is one id there.
     """
 
     CHECKED = 4
@@ -62,12 +66,17 @@ class Encoder:
     def _slow_ids(self, text: str) -> list[int]:
         return self.slow.encode(text, add_special_tokens=False).ids
 
+    def _needs_slow(self, text: str) -> bool:
+        return any(t in text for t in self.added) or (len(text) >= LONG_RUN and _LONG_BLANKS.search(text) is not None)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
             try:
-                ids = self._slow_ids(text) if any(t in text for t in self.added) else self.fast.encode_ordinary(text)
-            except (ValueError, RuntimeError):
+                ids = self._slow_ids(text) if self._needs_slow(text) else self.fast.encode_ordinary(text)
+            except (KeyboardInterrupt, SystemExit, GeneratorExit):
+                raise
+            except BaseException:  # a panic of the compiled encoder is no Exception
                 ids = self._slow_ids(text)
             if self.checked < self.CHECKED:
                 self.checked += 1
@@ -119,6 +128,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
                     names=["doc_id", "part", "local", "n_tokens", "ids"],
                 )
 
+    ship(docs.sparkSession)
     return docs.select(
         docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")
     ).mapInArrow(run, TOKENS)

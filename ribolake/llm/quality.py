@@ -5,11 +5,12 @@ token more where a word is in capitals. Features are hashed single tokens and pa
 neighbours, as shares of the text scaled to unit length, so a score is one sparse dot
 product. Texts are hashed as a whole and never cut.
 
-Training takes at most ``max_train`` labelled documents (a stated bound: the smallest
-seeded hashes of the ids). The sample is dealt over ``shards`` groups; in each round
+Training takes at most ``max_train`` labelled rows (a stated bound: the smallest seeded
+hashes of the ids, repeated ids as often as they occur until the bound is reached). The
+sample is dealt over groups of about ``SHARD_ROWS`` rows, six at least; in each round
 every group runs FTRL-proximal from the common state over its documents in hash order,
-and the states (sums ``z`` and ``n`` of every feature) are averaged. A group is bounded
-by ``max_train / shards`` documents, a state by the number of features.
+and the states (sums ``z`` and ``n`` of every feature) are averaged. The sample bounds a
+group, the number of features a state.
 
 Defined results: a null or empty text has the score of the intercept. Labels other than 0
 and 1, null labels and contradictory labels of an id are not used; repeated labelled
@@ -25,16 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from . import textbatch
-from .common import stage, text_of
+from .common import ship, stage, text_of
 from .rules import usable_labels
 
 BITS = 18
 DIM = 1 << BITS
 MAX_TRAIN = 12_000
 SHARDS = 6
+SHARD_ROWS = 2000
 ROUNDS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.05
 
@@ -94,35 +96,55 @@ def train_one(texts: pa.Array, labels: np.ndarray, z: np.ndarray, n: np.ndarray)
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """The bounded training sample: text, label, place and group."""
+    """The bounded training sample: text, label, place and group.
+
+    Rows are ranked, not ids: rows equal in id and text are counted first, and the running
+    sum of the counts says how many of them are within the bound.
+    """
     place = F.xxhash64(F.lit("train"), F.col("doc_id"))
     known = usable_labels(labels).filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = known.withColumn("place", place).orderBy("place", "doc_id").limit(max_train)  # ids only
-    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").withColumn("group", F.pmod("place", F.lit(SHARDS)).cast("int"))
+    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text")).withColumn("text_key", F.md5("text"))
+    order = ["place", "doc_id", "text_key"]
+    counted = texts.select("doc_id", "text_key").join(F.broadcast(chosen), "doc_id").groupBy(*order, "label").agg(F.count("*").alias("m"))
+    # At most ``max_train`` rows of ids and counts.
+    before = F.coalesce(F.sum("m").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    picked = stage(
+        counted.orderBy(*order).limit(max_train).withColumn("copies", F.least("m", F.lit(max_train) - before))
+        .filter("copies > 0").drop("m"), "quality-picked",
+    )
+    # Equal rows are reduced to one text map-side, then unfolded to the copies within the bound.
+    once = texts.join(F.broadcast(picked), ["doc_id", "text_key"]).groupBy(*order, "label", "copies").agg(F.first("text").alias("text"))
+    shards = max(SHARDS, -(-max_train // SHARD_ROWS))
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).withColumn(
+        "group", F.when(F.col("copies") == 1, F.pmod("place", F.lit(shards))).otherwise(F.pmod(F.xxhash64(*order, "copy"), F.lit(shards))).cast("int")
+    ).drop("copies")
 
 
-STATE = "slot int, z double, n double"
+STATE = "group int, slot int, z double, n double"
 
 
 def trained(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, rounds: int = ROUNDS) -> np.ndarray:
     """Weights of all features and, last, the intercept."""
     chosen = stage(sample(docs, labels, max_train), "quality-sample")
+    ship(docs.sparkSession)
     z, n = np.zeros(DIM + 1), np.zeros(DIM + 1)
     for _ in range(rounds):
         state = docs.sparkSession.sparkContext.broadcast((z, n))
 
         def run(part: pd.DataFrame) -> pd.DataFrame:
             own_z, own_n = (x.copy() for x in state.value)
-            part = part.sort_values(["place", "doc_id"])
+            part = part.sort_values(["place", "doc_id", "text_key", "copy"])
             train_one(pa.array(part["text"], pa.large_string()), part["label"].to_numpy(float), own_z, own_n)
             slot = np.flatnonzero(own_n)
-            return pd.DataFrame({"slot": slot.astype(np.int32), "z": own_z[slot], "n": own_n[slot]})
+            return pd.DataFrame({"group": part["group"].iloc[0], "slot": slot.astype(np.int32), "z": own_z[slot], "n": own_n[slot]})
 
-        # Averaged over the groups, a group without the feature counting as unchanged.
+        # Averaged over the groups, a group without the feature counting as unchanged; added
+        # up in the order of the groups, so that reruns agree to the last bit.
+        added = lambda c: F.aggregate("states", F.lit(0.0), lambda s, e: s + e[c]).alias(c)
         found = chosen.groupBy("group").applyInPandas(run, STATE).groupBy("slot").agg(
-            F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("groups")
-        ).toArrow()  # at most one row a feature slot
+            F.array_sort(F.collect_list(F.struct("group", "z", "n"))).alias("states")
+        ).select("slot", added("z"), added("n"), F.size("states").alias("groups")).toArrow()  # at most one row a feature slot
         at, sum_z, sum_n, own = (found.column(c).to_numpy() for c in ("slot", "z", "n", "groups"))
         groups = max(int(own.max()), 1) if len(own) else 1
         z[at] = (sum_z + (groups - own) * z[at]) / groups
@@ -133,6 +155,7 @@ def trained(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, roun
 
 def scorer(spark: SparkSession, weights: np.ndarray):
     """A column function from texts to scores; all other columns stay in the JVM."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(weights)
 
     @F.arrow_udf("double")

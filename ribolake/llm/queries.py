@@ -66,33 +66,12 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judged(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
-OP9_SQL = r"""
-with d as (
-  select doc_id, case when source is null then 'b' else 'a' || source end skey,
-         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) size,
-         md5('mix:' || coalesce(cast(doc_id as varchar), 'null')) || ':' || lpad(cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as varchar), 12, '0') place
-  from documents),
-s as (select skey, cast(sum(size) as bigint) source_size from d group by skey),
-w as (select *, [5.0::double, 2.0::double, 1.0::double][(row_number() over (order by skey) - 1) % 3 + 1] weight,
-             cast(sum(source_size) over () as double) * 1.5::double budget, source_size * 2.0::double cap from s),
-l as (select *, (budget - coalesce(sum(cap) over f, 0.0::double)) / (sum(weight) over () - coalesce(sum(weight) over f, 0.0::double)) lev
-      from w window f as (order by cap / weight, skey rows between unbounded preceding and 1 preceding)),
-t as (select skey, source_size, least(cap, max(lev) over () * weight) target from l),
-r as (select *, case when source_size > 0 then floor(target / source_size) else 0 end whole from t),
-p as (select d.*, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size rest,
-             coalesce(sum(size) over (partition by d.skey order by place, doc_id rows between unbounded preceding and 1 preceding), 0) before
-      from d join r on d.skey = r.skey)
-select doc_id, cast(size as bigint) size, source_size, target,
-       cast(size * (whole + case when before + size / 2 < rest then 1 else 0 end) as bigint) taken
-from p
-"""
-
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_pii, op3_quality_rules, op4_hilbert_shards, op5_ngram_jaccard, op6_line_runs, op7_prefix_forest, op8_concat_and_cut,
     op9_water_filling, op10_licenses, op11_conversation_trie, op12_merkle_manifest, op13_decontamination,
 )}
 ORACLE = {
     "op2_pii": pii.oracle_sql(), "op3_quality_rules": rules.oracle_sql(), "op5_ngram_jaccard": ngram_join.oracle_sql(3, 90),
-    "op6_line_runs": lines.oracle_sql(), "op9_water_filling": OP9_SQL, "op11_conversation_trie": trie.oracle_sql(),
+    "op6_line_runs": lines.oracle_sql(), "op9_water_filling": mixing.oracle_sql(), "op11_conversation_trie": trie.oracle_sql(),
     "op12_merkle_manifest": merkle.oracle_sql(), "op13_decontamination": decontam.oracle_sql(),
 }

@@ -1,13 +1,14 @@
 """Quality rules with thresholds whose false rejections are bounded.
 
 A rule rejects a document whose metric is above a cutoff. Cutoffs come from labelled
-documents, per stratum (language): walking from the loosest cutoff of a fixed grid to the
-tightest, a cutoff is accepted while the exact binomial test rejects "more than the
-allowed share of good documents would be lost". The walk stops at the first failure, so
-the tests along a grid need no correction among each other; strata and rules are
-corrected by Bonferroni, and the allowed share is split over the rules. With probability
+documents, per stratum (language): all rules are tightened together, step by step along
+fixed grids from the loosest cutoffs to the tightest, and a step is accepted while the
+exact binomial test rejects "the rules together would lose more than ``alpha`` of the good
+documents". The walk stops at the first failure, so the tests along the steps need no
+correction among each other; strata are corrected by Bonferroni. With probability
 ``1 - delta`` no stratum then loses more than ``alpha`` of its good documents. A stratum
-without enough labels gets no cutoff and rejects nothing.
+without enough labels (436 good ones for four strata and no losses) gets no cutoff and
+rejects nothing.
 
 All counts are JVM expressions inside a row: no row is exploded, and nothing but narrow
 metrics is shuffled.
@@ -37,6 +38,7 @@ GRIDS = {
     "repeat_share": (300, 250, 200, 150, 100, 70, 50, 30),
     "word_length": (2500, 2000, 1700, 1500, 1300, 1200, 1100, 1000),
 }
+STEPS = 8  # of every grid
 ALPHA = 0.01
 DELTA = 0.05
 
@@ -126,39 +128,31 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def certified(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Tightest accepted cutoff of each stratum, one column a rule (null: none).
+    """The accepted cutoffs of each stratum that has any, one column a rule, and the step they are of.
 
-    ``holdout`` has the good documents with stratum and metrics. Per stratum and rule
-    only the counts between neighbouring cutoffs are kept.
+    ``holdout`` has the good documents with stratum and metrics. Per stratum only the
+    counts between neighbouring steps are kept.
     """
-    places = [
-        F.struct(F.lit(rule).alias("rule"), sum((F.when(F.col(rule) > c, 1).otherwise(0) for c in grid), F.lit(0)).alias("above"))
-        for rule, grid in GRIDS.items()
-    ]
-    counted = holdout.select("stratum", F.explode(F.array(*places)).alias("p")).groupBy("stratum", "p.rule", "p.above").count()
-    per_rule = counted.groupBy("stratum", "rule").agg(F.sum("count").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("above", "count"))).alias("by_place"))  # at most one entry a cutoff
-    per_rule = stage(per_rule, "rules-counts")
-    strata = max(per_rule.select("stratum").distinct().count(), 1)
-    grids = F.create_map(*[x for rule, grid in GRIDS.items() for x in (F.lit(rule), F.array(*map(F.lit, grid)))])
-    # A document above j cutoffs lies above the j tightest, and is lost at the i-th if that is one of them.
+    # A document above j cutoffs of a rule lies above the j tightest; the rule with the most decides.
+    above = F.greatest(*[sum((F.when(F.col(rule) > c, 1).otherwise(0) for c in grid), F.lit(0)) for rule, grid in GRIDS.items()])
+    counted = holdout.groupBy("stratum", above.alias("above")).count()
+    per_stratum = stage(counted.groupBy("stratum").agg(F.sum("count").alias("n"), F.map_from_entries(
+        F.collect_list(F.struct("above", "count"))).alias("by_place")), "rules-counts")  # at most one entry a step
+    strata = max(per_stratum.count(), 1)
     lost = F.aggregate(
         F.map_entries("by_place"), F.lit(0).cast("bigint"),
-        lambda total, e: total + F.when(e["key"] > F.size("grid") - F.col("i"), e["value"]).otherwise(0),
+        lambda total, e: total + F.when(e["key"] > STEPS - F.col("step"), e["value"]).otherwise(0),
     )
-    share = alpha / len(GRIDS)
     tests = (
-        per_rule.withColumn("grid", F.element_at(grids, F.col("rule")))
-        .select("*", F.posexplode("grid").alias("i0", "cutoff")).withColumn("i", F.col("i0") + 1)
-        .withColumn("k", lost)
-        .withColumn("passed", F.when(F.col("k") >= F.col("n") * share, False).otherwise(
-            binomial_tail(F.col("n"), F.col("k"), share) <= F.log(F.lit(delta / len(GRIDS) / strata))
+        per_stratum.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(STEPS)))).withColumn("k", lost)
+        .withColumn("passed", F.when(F.col("k") >= F.col("n") * alpha, False).otherwise(
+            binomial_tail(F.col("n"), F.col("k"), alpha) <= F.log(F.lit(delta / strata))
         ))
     )
-    walk = Window.partitionBy("stratum", "rule").orderBy("i")
+    walk = Window.partitionBy("stratum").orderBy("step")
     accepted = tests.withColumn("all_passed", F.min("passed").over(walk)).filter("all_passed")
-    return accepted.groupBy("stratum").pivot("rule", list(GRIDS)).agg(F.min("cutoff")).select(
-        "stratum", *[F.col(rule).alias(f"{rule}_cutoff") for rule in GRIDS]
+    return accepted.groupBy("stratum").agg(F.max("step").alias("step")).select(
+        "stratum", "step", *[F.element_at(F.array(*map(F.lit, grid)), F.col("step")).alias(f"{rule}_cutoff") for rule, grid in GRIDS.items()]
     )
 
 
@@ -177,8 +171,9 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: flo
 
 
 def oracle_sql() -> str:
-    share, word = ALPHA / len(GRIDS), r"[^\x20\x09-\x0D]+"
-    grid = ", ".join(f"('{r}', {i + 1}, {c})" for r, g in GRIDS.items() for i, c in enumerate(g))
+    word = r"[^\x20\x09-\x0D]+"
+    grid = ", ".join(f"({i + 1}, {', '.join(str(g[i]) for g in GRIDS.values())})" for i in range(STEPS))
+    over = " or ".join(f"{r} > g.{r}_cut" for r in GRIDS)
     return rf"""
     with d as (select row_number() over () n, doc_id, case when lang is null then 'b' else 'a' || lang end stratum, coalesce(text, '') t from documents),
     w as (select n, unnest(ws) w, unnest(range(len(ws))) i from (select n, regexp_extract_all(t, '{word}') ws from d)),
@@ -199,16 +194,13 @@ def oracle_sql() -> str:
                  case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end repeat_share,
                  case when n_words > 0 then 100 * word_chars // n_words else 0 end word_length from v0),
     good as (select doc_id from labels where doc_id is not null and quality is not null group by doc_id having min(quality) = 1 and max(quality) = 1),
-    h as (unpivot (select stratum, symbol_share, dup_line_share, repeat_share, word_length from v where doc_id in (select doc_id from good))
-          on symbol_share, dup_line_share, repeat_share, word_length into name rule value x),
-    g(rule, i, cutoff) as (values {grid}),
-    k as (select stratum, g.rule, g.i, g.cutoff, count(*) n, count(*) filter (x > cutoff) k from h join g on h.rule = g.rule group by all),
-    p as (select *, case when k >= n * {share} then false else
-            list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share}) + (n - j) * ln(1 - {share}))))
-            <= {DELTA / len(GRIDS)} / (select count(distinct stratum) from k) end passed from k),
-    a as (select stratum, rule, min(cutoff) cutoff from (select *, bool_and(passed) over (partition by stratum, rule order by i) ok from p) where ok group by all)
+    h as (select * from v where doc_id in (select doc_id from good)),
+    g(i, {', '.join(f'{r}_cut' for r in GRIDS)}) as (values {grid}),
+    k as (select stratum, g.i, count(*) n, count(*) filter ({over}) k from h, g group by all),
+    p as (select *, case when k >= n * {ALPHA} then false else
+            list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA}) + (n - j) * ln(1 - {ALPHA}))))
+            <= {DELTA} / (select count(distinct stratum) from k) end passed from k),
+    a as (select stratum, max(i) i from (select *, bool_and(passed) over (partition by stratum order by i) ok from p) where ok group by all)
     select doc_id, n_words, cast(word_chars as bigint) word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           not base_failed and not exists (select 1 from a where a.stratum = v.stratum and
-             ((rule = 'symbol_share' and symbol_share > cutoff) or (rule = 'dup_line_share' and dup_line_share > cutoff)
-              or (rule = 'repeat_share' and repeat_share > cutoff) or (rule = 'word_length' and word_length > cutoff))) kept
+           not base_failed and not exists (select 1 from a join g on g.i = a.i where a.stratum = v.stratum and ({over})) kept
     from v"""
