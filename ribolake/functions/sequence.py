@@ -99,6 +99,25 @@ def kept_length(seq: Column, adapter: Column, min_overlap: int = 4) -> Column:
     return F.when(whole > 0, whole - 1).when(adapter.isNotNull(), F.length(seq) - partial)
 
 
+def kept_length_with_errors(seq: Column, adapter: str, max_share: float, min_overlap: int = 4) -> Column:
+    """Bases before the leftmost place from which the read goes on as the adapter, but for errors.
+
+    At each place as much of the adapter is compared as the read still holds, ``min_overlap``
+    bases or more; at most ``max_share`` of the compared bases, rounded down, may differ.
+    """
+    size, whole, most = F.length(seq), F.lit(adapter), int(len(adapter) * max_share + 1e-9)
+
+    def close(at: Column) -> Column:
+        n = F.least(size - at, F.lit(len(adapter)))
+        limit = F.floor(n * F.lit(float(max_share)) + F.lit(1e-9)).cast("int")
+        own, wanted = F.substring(seq, at + 1, n), F.substring(whole, F.lit(1), n)
+        # The banded edit distance, never above the number of misread bases, ends most random places.
+        return F.when(limit == 0, own == wanted).otherwise((F.levenshtein(own, wanted, most) >= 0) & (hamming(own, wanted) <= limit))
+
+    places = F.filter(F.sequence(F.lit(0), size - min_overlap), close)
+    return F.when(size < min_overlap, size).otherwise(F.coalesce(F.get(places, F.lit(0)), size))
+
+
 def two_decimals(value: Column) -> Column:
     """Text with two decimals, the number format of the summary files."""
     return F.format_string("%.2f", value.cast("double"))

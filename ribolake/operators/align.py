@@ -2,15 +2,19 @@
 
 A read with at most v substitutions, cut into p disjoint pieces, has one piece with
 at most v // p of them. Each read therefore asks an index of reference k-mers for
-its pieces (or, for reads too short for v + 1 pieces, for their neighbourhood), and
-every answer is verified against the reference window. All steps are joins and
-column expressions; nothing is capped.
+its pieces. Reads too short for v + 1 pieces ask for the neighbourhood of theirs with
+one mismatch; with more they are cut into v + 3 short pieces, of which three are exact:
+every three of them, with their distances, are a spaced key, looked up in a table of such
+keys of the references. Every answer is verified against the reference window. All
+steps are joins and column expressions; nothing is capped.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +28,12 @@ REFERENCE = ("panel", "ref_id")
 
 @dataclass(frozen=True)
 class PanelIndex:
-    """Seeds and context tiles of a panel, both written tables."""
+    """Seeds and context tiles of a panel, both written tables.
+
+    A seed is a k-mer of the references or its reverse complement, whichever is smaller,
+    as a number of two bits a base. ``side`` is 1 where the reference holds it as it is,
+    -1 where it holds the reverse complement, 0 where both are the same.
+    """
 
     seeds: DataFrame
     tiles: DataFrame
@@ -34,6 +43,8 @@ class PanelIndex:
     seed_rows: int
     tile_rows: int
     has_panel: bool = False
+    strands: str = "both"
+    spaced: dict[tuple[int, int], tuple[DataFrame, int]] = field(default_factory=dict)  # built on first use
 
 
 def with_panel(references: DataFrame) -> DataFrame:
@@ -92,6 +103,35 @@ def tile_seeds(tiles: DataFrame, k: int, tile: int, strands: str = "both") -> Da
     )
 
 
+def packed(kmer: Column) -> Column:
+    """A k-mer of up to 31 bases A, C, G, T as a number, two bits a base."""
+    return F.conv(F.translate(kmer, "ACGT", "0123"), 4, 10).cast("bigint")
+
+
+def canonical_seed(kmer: Column) -> tuple[Column, Column]:
+    """Number of the smaller of a k-mer and its reverse complement, and which of the two it is."""
+    mirror = revcomp(kmer)
+    return packed(F.least(kmer, mirror)), F.when(kmer < mirror, 1).when(kmer > mirror, -1).otherwise(0)
+
+
+def packed_seeds(tiles: DataFrame, k: int, tile: int) -> DataFrame:
+    """One canonical seed for every k-mer that starts inside a tile: (kmer, panel, ref_id, tile, at, side)."""
+    number, side = canonical_seed(F.col("kmer"))
+    return tile_seeds(tiles, k, tile, "plus").select(number.alias("kmer"), *REFERENCE, "tile", "at", side.cast("tinyint").alias("side"))
+
+
+def seed_matches(probes: DataFrame, index: PanelIndex, broadcast_rows: int) -> DataFrame:
+    """``probes`` (with a text ``kmer``) and the places of their k-mers: panel, ref_id, tile, at and strand."""
+    number, side = canonical_seed(F.col("kmer"))
+    asked = probes.withColumn("_side", side).withColumn("kmer", number)
+    seeds = join_side(index.seeds, index.seed_rows, 96, broadcast_rows)
+    strand = F.when(F.col("side") == 0, F.array(F.lit("+"), F.lit("-"))).otherwise(
+        F.array(F.when(F.col("side") == F.col("_side"), "+").otherwise("-"))
+    )
+    found = asked.join(seeds, "kmer").withColumn("strand", F.explode(strand)).drop("kmer", "side", "_side")
+    return found if index.strands == "both" else found.filter("strand = '+'")
+
+
 def seed_length(bases: int, min_length: int) -> int:
     """Seed length at which a random seed occurs about once on both strands of the panel."""
     return max(7, min(min_length, math.ceil(math.log(max(2 * bases, 4), 4))))
@@ -114,10 +154,12 @@ def build_index(
     tile = max(tile, max_length)
     check_references(with_panel(panel))
     tiles = stage(panel_tiles(panel, tile, max_length), "tiles")
-    size = tiles.agg(F.sum(F.length("context")).alias("bases"), F.count("*").alias("rows")).first()
+    # A tile's own bases, without its margins.
+    own = F.least(F.lit(tile), F.col("ref_len") - F.col("tile") * tile)
+    size = tiles.agg(F.sum(own).alias("bases"), F.count("*").alias("rows")).first()
     k = k or seed_length(size["bases"] or 0, min_length)
-    seeds = stage(tile_seeds(tiles, k, tile, strands), "seeds")
-    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"], "panel" in panel.columns)
+    seeds = stage(packed_seeds(tiles, k, tile), "seeds")
+    return PanelIndex(seeds, tiles, k, max_length, tile, seeds.count(), size["rows"], "panel" in panel.columns, strands)
 
 
 def _edit_list(k: int, wanted: bool) -> Column:
@@ -138,19 +180,21 @@ def _edited(rows: DataFrame, k: int, radius: Column, step: int, after: Column) -
     )
 
 
+def _within(min_length: int, max_length: int, value: Column) -> Column:
+    """``value`` where the read's length is within the limits; else an error, never a silent miss."""
+    outside = F.concat(F.lit(f"sequence length not within {min_length}..{max_length}: "), F.col("seq"))
+    return F.when(F.length("seq").between(min_length, max_length), value.cast("int")).otherwise(F.raise_error(outside).cast("int"))
+
+
 def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: int) -> DataFrame:
     """The k-mers each sequence asks for, in upper case and as DNA, with piece number and offset.
 
-    A sequence outside the length limits is an error, never a silent miss.
+    With more than one mismatch, sequences shorter than ``v + 1`` pieces are left out:
+    they ask for spaced keys.
     """
     size = F.length("seq")
-    fewest = min(min_length // k, v + 1)
-    widest = v // fewest
-    if widest > 2:
-        raise ValueError(f"{v} mismatches in {fewest} piece(s) of {k} need a smaller seed length")
-    outside = F.concat(F.lit(f"sequence length not within {min_length}..{max_length}: "), F.col("seq"))
-    pieces = F.when(size.between(min_length, max_length), F.least(F.floor(size / k), F.lit(v + 1)).cast("int"))
-    pieces = pieces.otherwise(F.raise_error(outside).cast("int"))
+    widest = v // min(min_length // k, v + 1) if v == 1 else 0
+    pieces = _within(min_length, max_length, F.least(F.floor(size / k), F.lit(v + 1)))
 
     def cut(piece: Column) -> Column:
         offset = (piece * F.floor(size / F.col("pieces"))).cast("int")
@@ -161,7 +205,10 @@ def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: i
 
     # Unfolding structs (not positions) makes each piece a computed column, so the
     # many replacements below do not cut it out of the read again.
-    rows = reads.select("seq", pieces.alias("pieces")).select(
+    rows = reads.select("seq", pieces.alias("pieces"))
+    if v > 1:
+        rows = rows.filter(F.col("pieces") > v)
+    rows = rows.select(
         "seq", "pieces", F.inline(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), cut))
     )
     radius = F.floor(F.lit(v) / F.col("pieces"))
@@ -172,6 +219,92 @@ def read_probes(reads: DataFrame, k: int, v: int, min_length: int, max_length: i
     return rows.select("seq", "pieces", "piece", "offset", "kmer").filter(~has_ambiguous(F.col("kmer")))
 
 
+def spaced_tiers(min_length: int, below: int, pieces: int) -> list[tuple[int, int, int]]:
+    """Piece length, shortest and longest read of each tier of reads shorter than ``below``.
+
+    Longer reads have longer pieces, so that their keys stay rare; the tiers are few, as
+    each has a table of keys.
+    """
+    sizes, step = [min_length // pieces], 1
+    while (sizes[-1] + step) * pieces < below:
+        sizes.append(sizes[-1] + step)
+        step += 1
+    if not sizes[0]:
+        raise ValueError(f"sequences of {min_length} bases are too short for {pieces} pieces")
+    first = [min_length] + [s * pieces for s in sizes[1:]]
+    return [(s, a, b) for s, a, b in zip(sizes, first, [*[x - 1 for x in first[1:]], below - 1]) if a <= b]
+
+
+def _spaced_key(text: Column, at: Column | int, offsets: Sequence[int], s: int) -> Column:
+    """Three pieces of ``s`` bases behind one another, with the pattern of their distances."""
+    parts = [F.substring(text, at + o * s if isinstance(at, Column) else F.lit(at + o * s), F.lit(s)) for o in offsets]
+    return F.concat(*parts, F.lit(f".{offsets[1] - offsets[0]}{offsets[2] - offsets[0]}"))
+
+
+def spaced_seeds(index: PanelIndex, s: int, pieces: int) -> tuple[DataFrame, int]:
+    """Spaced keys of the references' forward strands, written, and their number."""
+    if (s, pieces) not in index.spaced:
+        begin = F.col("tile") * index.tile
+        end = F.least(begin + index.tile, F.col("ref_len") - 3 * s + 1)
+        places = index.tiles.filter(end > begin).select(
+            *REFERENCE, "tile", "context", "context_start", "ref_len", F.explode(F.sequence(begin, end - 1)).alias("at")
+        ).select(
+            *REFERENCE, "tile", "at",
+            F.substring("context", (F.col("at") - F.col("context_start") + 1).cast("int"), F.lit(s * pieces)).cast("string").alias("_text"),
+        )
+        keys = [
+            F.when(F.length("_text") >= (last + 1) * s, _spaced_key(F.col("_text"), 1, (0, middle, last), s))
+            for middle, last in combinations(range(1, pieces), 2)
+        ]
+        rows = places.select(*REFERENCE, "tile", "at", F.explode(F.array(*keys)).alias("kmer")).filter(
+            F.col("kmer").isNotNull() & ~F.col("kmer").rlike("[^ACGT.0-9]")
+        )
+        table = stage(rows, "spaced-seeds")
+        index.spaced[s, pieces] = (table, table.count())
+    return index.spaced[s, pieces]
+
+
+def spaced_hits(reads: DataFrame, index: PanelIndex, v: int, min_length: int, below: int, broadcast_rows: int) -> DataFrame:
+    """Hits within ``v`` of the sequences shorter than ``below``, by spaced keys of three exact pieces."""
+    pieces, out = v + 3, None
+    for s, shortest, longest in spaced_tiers(min_length, below, pieces):
+        text = normalise(F.col("seq"))
+        sides = F.array(F.struct(F.lit("+").alias("strand"), text.alias("_read")), F.struct(F.lit("-").alias("strand"), revcomp(text).alias("_read")))
+        oriented = reads.filter(F.length("seq").between(shortest, longest)).select("seq", F.inline(sides))
+        keys = F.array(*[
+            F.struct(F.array(*map(F.lit, t)).alias("triple"), _spaced_key(F.col("_read"), 1, t, s).alias("kmer"))
+            for t in combinations(range(pieces), 3)
+        ])
+        probes = oriented.select("seq", "strand", "_read", F.inline(keys)).filter(~F.col("kmer").rlike("[^ACGT.0-9]"))
+        table, rows = spaced_seeds(index, s, pieces)
+        found = probes.join(join_side(table, rows, 3 * s + 96, broadcast_rows), "kmer").withColumn(
+            "pos", F.col("at") - F.get("triple", F.lit(0)) * s
+        ).filter("pos >= 0")
+        found = _with_window(found, index, broadcast_rows).select(
+            "seq", "strand", "triple", *REFERENCE, "pos", F.inline(F.array(F.struct("_window", F.col("_read").alias("_own"))))
+        )
+        same = lambda m: F.substring("_own", m * s + 1, s) == F.substring("_window", m * s + 1, s)
+        first = F.lit(True)
+        for m in range(pieces - 1):
+            # A window is kept for its first three exact pieces only.
+            first = first & ((F.get("triple", F.lit(2)) < m) | F.array_contains("triple", m) | ~same(m))
+        mm = F.when(
+            F.levenshtein("_own", "_window", v) >= 0,
+            F.when(first & ~has_ambiguous(F.col("_window")), mismatches_up_to(F.col("_own"), F.col("_window"), v)),
+        )
+        hits = found.select("seq", *REFERENCE, "pos", "strand", F.explode(F.array(mm.cast("int"))).alias("mm")).filter("mm is not null")
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+def _with_window(found: DataFrame, index: PanelIndex, broadcast_rows: int) -> DataFrame:
+    """Join the tiles and cut out the window of a candidate; windows beyond a reference's end go."""
+    tiles = join_side(index.tiles, index.tile_rows, index.tile + 2 * index.max_length + 64, broadcast_rows)
+    size = F.length("seq")
+    window = F.substring("context", (F.col("pos") - F.col("context_start") + 1).cast("int"), size).cast("string")
+    return found.join(tiles, [*REFERENCE, "tile"]).filter(F.col("pos") + size <= F.col("ref_len")).withColumn("_window", window)
+
+
 def all_hits(
     reads: DataFrame,
     index: PanelIndex,
@@ -189,16 +322,13 @@ def all_hits(
     if (min_length or k) < k:
         raise ValueError("min_length must not be below the seed length")
     probes = read_probes(reads, k, v, min_length or k, index.max_length)
-    seeds = join_side(index.seeds, index.seed_rows, k + 64, broadcast_rows)
-    tiles = join_side(index.tiles, index.tile_rows, index.tile + 2 * index.max_length + 64, broadcast_rows)
     size = F.length("seq")
     start = F.when(F.col("strand") == "+", F.col("at") - F.col("offset")).otherwise(
         F.col("at") - size + F.col("offset") + k
     )
-    found = probes.join(seeds, "kmer").withColumn("pos", start).filter("pos >= 0")
-    found = found.join(tiles, [*REFERENCE, "tile"]).filter(F.col("pos") + size <= F.col("ref_len"))
-    window = F.substring("context", (F.col("pos") - F.col("context_start") + 1).cast("int"), size).cast("string")
-    oriented = F.when(F.col("strand") == "-", revcomp(window)).otherwise(window)
+    found = seed_matches(probes, index, broadcast_rows).withColumn("pos", start).filter("pos >= 0")
+    found = _with_window(found, index, broadcast_rows)
+    oriented = F.when(F.col("strand") == "-", revcomp(F.col("_window"))).otherwise(F.col("_window"))
     # Unfolded from a one-element array, window and read are computed once for all tests on them.
     both = F.struct(oriented.alias("_win"), normalise(F.col("seq")).alias("_read"))
     found = found.select("seq", "pieces", "piece", *REFERENCE, "pos", "strand", F.inline(F.array(both)))
@@ -208,6 +338,8 @@ def all_hits(
     mm = F.when(close, F.when(valid, mismatches_up_to(F.col("_read"), F.col("_win"), v)))
     found = found.select("seq", *REFERENCE, "pos", "strand", F.explode(F.array(mm.cast("int"))).alias("mm"))
     found = found.filter(F.col("mm").isNotNull())
+    if v > 1 and (min_length or k) < (v + 1) * k:
+        found = found.unionByName(spaced_hits(reads, index, v, min_length or k, (v + 1) * k, broadcast_rows))
     return found.select(*HIT_COLUMNS, *(["panel"] if index.has_panel else []))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .intervals import overlap_count
 from .staging import stage
 
 
@@ -27,13 +28,42 @@ def hit_weights(hits: DataFrame, max_mismatches: int | None = None) -> DataFrame
     return multihit_count(kept).withColumn("weight", 1.0 / F.col("n_hits"))
 
 
-def fractional_counts(collapsed: DataFrame, hits: DataFrame) -> DataFrame:
+def density_weights(hits: DataFrame, distance: int = 50, max_mismatches: int | None = None, abundance: DataFrame | None = None) -> DataFrame:
+    """Share of a read given to each of its hits by the unique hits around them.
+
+    Two passes: sequences with one hit are counted by place, then a hit of the others
+    weighs as many of them as start within ``distance`` bases of it on its strand, over the
+    sum for all hits of its sequence; where that sum is zero, one over the number of hits.
+    ``abundance`` (seq, n) counts reads instead of sequences. The range sums are differences
+    of running sums over positions: no hit meets another.
+    """
+    kept = hits if max_mismatches is None else hits.filter(F.col("mm") <= max_mismatches)
+    counted = stage(multihit_count(kept), "hits-counted")
+    keys = [c for c in ("panel", "ref_id", "strand") if c in hits.columns]
+    single = counted.filter("n_hits = 1")
+    single = single.withColumn("_n", F.lit(1)) if abundance is None else single.join(
+        abundance.groupBy("seq").agg(F.sum("n").alias("_n")), "seq"
+    )
+    unique = single.groupBy(*keys, F.col("pos").alias("start")).agg(F.sum("_n").alias("_n")).withColumn("end", F.col("start") + 1)
+    places = counted.filter("n_hits > 1").select(
+        *keys, (F.col("pos") - distance).alias("start"), (F.col("pos") + distance + 1).alias("end")
+    ).distinct()
+    near = overlap_count(places, unique, keys, "_near", "_n").select(*keys, (F.col("start") + distance).alias("pos"), "_near")
+    rows = stage(counted.join(near, [*keys, "pos"], "left").withColumn("_near", F.coalesce("_near", F.lit(0))), "hits-near")
+    sums = rows.groupBy("seq").agg(F.sum("_near").alias("_sum"))
+    return rows.join(sums, "seq").withColumn(
+        "weight", F.when(F.col("_sum") > 0, F.col("_near") / F.col("_sum")).otherwise(1.0 / F.col("n_hits"))
+    ).select(*counted.columns, "weight")
+
+
+def fractional_counts(collapsed: DataFrame, hits: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Reads per sample and reference, and panel if hits have one; a read with h hits adds 1/h to each.
 
+    Other ``weights`` are hits with a ``weight``, such as those of ``density_weights``.
     Hits of one sequence on one reference are added up before samples are joined in.
     """
     keys = [c for c in ("panel", "ref_id") if c in hits.columns]
-    share = hit_weights(hits).groupBy("seq", *keys).agg(F.sum("weight").alias("share"))
+    share = (hit_weights(hits) if weights is None else weights).groupBy("seq", *keys).agg(F.sum("weight").alias("share"))
     return collapsed.join(share, "seq").groupBy("sample", *keys).agg(
         F.sum(F.col("n") * F.col("share")).alias("reads")
     )

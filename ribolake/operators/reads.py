@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.sequence import count_of, kept_length, low_quality_bases, strip_gaps, without_adapter
+from ..functions.sequence import count_of, kept_length, kept_length_with_errors, low_quality_bases, strip_gaps, without_adapter
 from .ranking import ranked
 from .staging import join_side, stage
 
@@ -24,6 +24,13 @@ def trim_adapter(df: DataFrame, adapter: str, min_overlap: int = 4) -> DataFrame
     return df.select("*", kept).select(*[cut(c) if c in ("seq", "qual") else c for c in df.columns])
 
 
+def trim_adapter_with_errors(df: DataFrame, adapter: str, max_share: float = 0.1, min_overlap: int = 4) -> DataFrame:
+    """Cut the 3' adapter where at most ``max_share`` of its compared bases are misread."""
+    kept = F.explode(F.array(kept_length_with_errors(F.col("seq"), adapter, max_share, min_overlap))).alias("_kept")
+    cut = lambda c: F.substring(c, F.lit(1), F.col("_kept")).alias(c)
+    return df.select("*", kept).select(*[cut(c) if c in ("seq", "qual") else c for c in df.columns])
+
+
 def detect_adapters(
     df: DataFrame, k: int = 12, min_insert: int = 15, min_share: float = 0.1, min_reads: int = 5, max_left: int = 40,
     min_steady: int = 10,
@@ -39,11 +46,11 @@ def detect_adapters(
     unique = stage(df.select("sample", "seq").distinct(), "distinct-reads")
     totals = unique.groupBy("sample").agg(F.count("*").alias("_total"))
     last = F.length("seq") - k
-    at = F.explode(F.sequence(F.lit(min_insert), last)).alias("at")
-    kmers = unique.filter(last >= min_insert).select("sample", "seq", at).select(
-        "sample", "seq", F.substring("seq", F.col("at") + 1, F.lit(k)).alias("kmer")
-    )
-    counted = kmers.distinct().groupBy("sample", "kmer").agg(F.count("*").alias("reads"))
+    # Each k-mer of a read once: what is repeated in a read goes before it is unfolded, so
+    # no read is shuffled with its k-mers, and the counts combine map-side.
+    own = F.array_distinct(F.transform(F.sequence(F.lit(min_insert), last), lambda at: F.substring("seq", at + 1, F.lit(k))))
+    kmers = unique.select("sample", F.explode_outer(F.when(last >= min_insert, own)).alias("kmer")).filter("kmer is not null")
+    counted = kmers.groupBy("sample", "kmer").agg(F.count("*").alias("reads"))
     best = counted.groupBy("sample").agg(F.min(F.struct((-F.col("reads")).alias("_n"), "kmer")).alias("b"))
     chosen = stage(
         best.join(totals, "sample").select("sample", "b.kmer", (-F.col("b._n")).alias("reads"), "_total")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import align as al
 from ..operators import cascade as cs
 from ..operators import counts as ct
+from ..operators import edits as ed
 from ..operators import intervals as iv
+from ..operators import seedstore as ss
 from ..operators import taxonomy as tx
+from ..operators.staging import staging_folder
 from .catalog import query
 
 HOST_ORDER = ("host_miRNA", "host_tRNA", "host_rRNA", "host_other")
@@ -109,6 +114,52 @@ def assembly_align(t):
     return aligned_to(t, contigs(t, "assistant"), 2, "best_strata")
 
 
+def edits_sql(name: str, reads: str, refs: str, tiers) -> str:
+    """CTEs for the edit-distance alignments of ``reads``(seq) on ``refs``(ref_id, dna), before best strata.
+
+    Pieces of a read are looked up by their first bases; windows around each answer are
+    compared whole.
+    """
+    limits = [*[t[0] for t in tiers[1:]], 10_000]
+    tier = "case " + " ".join(f"when length(seq)>={a} and length(seq)<{b} then {e}" for (a, e), b in zip(tiers, limits)) + " end"
+    return f"""
+ {name}_o as (select ref_id, '+' strand, dna o, length(dna) n from {refs} union all
+   select ref_id, '-', reverse(translate(dna,'ACGT','TGCA')), length(dna) from {refs}),
+ {name}_i as materialized (select ref_id, strand, p, substring(o,cast(p+1 as int),10) km from
+   (select ref_id, strand, o, unnest(range(0,n-9)) p from {name}_o where n>=10) y),
+ {name}_r as (select seq, length(seq) n, e, unnest(range(0,e+1))*(length(seq)//(e+1)) f from (select seq, {tier} e from {reads}) x where e is not null),
+ {name}_c as (select distinct r.seq, r.n, r.e, i.ref_id, i.strand, i.p-r.f w from {name}_r r join {name}_i i on i.km=substring(r.seq,cast(r.f+1 as int),10)),
+ {name}_w as (select seq, n, e, ref_id, strand, w, sh, unnest(range(-e,e+1)) th from (select *, unnest(range(-e,e+1)) sh from {name}_c) x),
+ {name}_v as (select distinct seq, ln, e, c.ref_id, c.strand, o.n rn, w+sh a, w+ln+th b, substring(o.o,cast(w+sh+1 as int),cast(ln+th-sh as int)) win
+   from (select seq, n ln, e, ref_id, strand, w, sh, th from {name}_w where abs(sh)+abs(th)<=e) c join {name}_o o on o.ref_id=c.ref_id and o.strand=c.strand
+   where w+sh>=0 and w+ln+th<=o.n),
+ {name}_l as (select *, case strand when '+' then a else rn-b end pos, case strand when '+' then b else rn-a end fin, levenshtein(seq,win) d from {name}_v where not contains(win,'N')),
+ {name}_s as (select seq, e, ref_id, strand, pos, fin, d from (select *, row_number() over (partition by seq, ref_id, strand, pos order by d, abs(fin-pos-ln), fin) rk from {name}_l where d<=e) x where rk=1),
+ {name} as (select seq, ref_id, strand, pos, fin, d from {name}_s x where not exists (select 1 from {name}_s y where y.seq=x.seq and y.ref_id=x.ref_id and y.strand=x.strand
+   and abs(y.pos-x.pos)<=2*x.e and (y.d<x.d or (y.d=x.d and y.pos<x.pos))))"""
+
+
+@query("ct uniq", f"""with {contigs_sql('g', 'assistant')}, {edits_sql('h', 'uniq', 'g', ed.TIERS)}
+ select seq, ref_id, cast(pos as bigint) pos, cast(fin as bigint) end_pos, strand, cast(d as int) edits from (select *, min(d) over (partition by seq) m from h) x where d=m""")
+def assembly_align_indels(t):
+    """Substitutions, insertions and deletions: one edit from 20 bases on, two from 33 on."""
+    reads = t("uniq").filter(F.length("seq") >= ed.TIERS[0][0])
+    index = al.build_index(contigs(t, "assistant"), k=10)
+    return ed.edit_join(reads, index, ed.TIERS, "best_strata").withColumnRenamed("end", "end_pos")
+
+
+@query("pn uniq", f"with {refs_sql('g', *HOST_ORDER)}, {hits_sql('h', 'uniq', 'g', 1)} select seq, ref_id, pos, strand, mm from h")
+def seed_table_kept(t):
+    """The index is kept on storage, forgotten and loaded again before reads are aligned."""
+    reads = t("uniq")
+    spark = reads.sparkSession
+    name = f"kept_{uuid.uuid4().hex}"
+    folder = f"{staging_folder(spark)}/index-{name}"
+    ss.save_index(al.build_index(panel(t, *HOST_ORDER)), name, folder, "r1", 8)
+    ss.drop_index(spark, name)
+    return al.mismatch_join(reads, ss.load_index(spark, folder), 1, "all", 15).select(*al.HIT_COLUMNS)
+
+
 _SPLIT = f"with {refs_sql('g', 'tRNA')}, u as (select distinct seq from clean), {hits_sql('h', 'u', 'g', 1)}"
 
 
@@ -199,6 +250,14 @@ def rrna_screen(t):
     return screened(t)
 
 
+@query("pn uniq", f"with {RRNA_SQL.replace('@reads', 'uniq')} select length(seq) size, share, count(*) sequences, min(seq) first_seq, max(seq) last_seq from screen group by all")
+def rrna_screen_shares(t):
+    """The same screen, counted by read length and share."""
+    return screened(t).groupBy(F.length("seq").alias("size"), "share").agg(
+        F.count("*").alias("sequences"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
 def nonhost_hits(t, reads=None):
     refs = panel(t, "tRNA", "miRNA", "rfam")
     return aligned_to(t, refs, reads=reads)
@@ -231,6 +290,15 @@ def nonhost_cascade(t):
     return nonhost_classified(t).na.fill("", ["ref_id", "strand"]).na.fill(-1, ["pos", "mm"])
 
 
+@query("pn uniq", f"with {NONHOST_SQL.replace('@reads', 'uniq')} select rna_class, coalesce(ref_id,'') ref_id, coalesce(strand,'') strand, cast(coalesce(mm,-1) as int) mm, count(*) sequences, cast(sum(coalesce(pos,-1)) as bigint) positions, min(seq) first_seq, max(seq) last_seq from classes group by all")
+def nonhost_cascade_classes(t):
+    """The same cascade, counted by class and reference."""
+    rows = nonhost_classified(t).na.fill("", ["ref_id", "strand"]).na.fill(-1, ["pos", "mm"])
+    return rows.groupBy("rna_class", "ref_id", "strand", "mm").agg(
+        F.count("*").alias("sequences"), F.sum("pos").alias("positions"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
 @query("pn coll uniq", f"with {NONHOST_SQL.replace('@reads', 'uniq')} select sample, ref_id, cast(sum(n) as bigint) reads from coll join classes using (seq) where rna_class='miRNA' group by all")
 def mirna_counts(t):
     return ct.reference_counts(t("coll"), nonhost_classified(t).filter("rna_class = 'miRNA'"))
@@ -262,6 +330,19 @@ def hit_weights(t):
     return rows.select("seq", "ref_id", "pos", "strand", F.round("weight", 6).alias("weight"))
 
 
+@query("ct uniq", f"""with {contigs_sql('g', 'assistant')}, {hits_sql('h', 'uniq', 'g', 1)},
+ c as (select *, count(*) over (partition by seq) nh from h),
+ u as (select ref_id, strand, pos, count(*) v from c where nh=1 group by all),
+ q as (select distinct ref_id, strand, pos from c where nh>1),
+ k as (select q.ref_id, q.strand, q.pos, sum(v) near from q join u on u.ref_id=q.ref_id and u.strand=q.strand and u.pos between q.pos-50 and q.pos+50 group by all),
+ r as (select c.*, coalesce(near,0) near from c left join k using (ref_id, strand, pos))
+ select seq, ref_id, pos, strand, round(case when sum(near) over (partition by seq)>0 then near/sum(near) over (partition by seq) else 1.0/nh end,6) weight from r""")
+def density_weights(t):
+    """Reads with several hits shared by the unique hits within 50 bases."""
+    rows = ct.density_weights(aligned_to(t, contigs(t, "assistant")), 50)
+    return rows.select("seq", "ref_id", "pos", "strand", F.round("weight", 6).alias("weight"))
+
+
 _REGIONS = """rg as (select contig, i*40 a, least(i*40+16+(i*7)%33, length(dna)) b, case when i%2=1 then '-' else '+' end strand, dna from
   (select contig, dna, unnest(range(0, 1+(length(dna)-1)//40)) i from ct where length(dna)>0) x)"""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.reference_ids import trna_dimensions
 from ..operators import counts as ct
 from ..operators import intervals as iv
 from ..operators import panels as pl
@@ -35,6 +36,23 @@ def trna_levels(t):
     return ct.level_counts(counts, dims, ct.TRNA_LEVELS).na.fill("")
 
 
+_TRNA_IDS = """with d as (select ref_id, coalesce(phylum,'unassigned') phylum, coalesce(species,'unassigned') species, coalesce(aa,'unassigned') aa, coalesce(anticodon,'unassigned') anticodon
+   from trna left join phyla using (species))
+ select sample, case grouping(ref_id,phylum,species,aa,anticodon) when 15 then 'feature' when 23 then 'phylum_class' when 27 then 'species'
+  when 29 then 'amino_acid' when 30 then 'anticodon' else 'phylum_species' end as level,
+ coalesce(ref_id,'') ref_id, coalesce(phylum,'') phylum, coalesce(species,'') species, coalesce(aa,'') aa, coalesce(anticodon,'') anticodon, cast(sum(n) as bigint) reads
+ from trnahits join d using (ref_id)
+ group by grouping sets ((sample,ref_id),(sample,phylum),(sample,species),(sample,aa),(sample,anticodon),(sample,phylum,species))"""
+
+
+@query("trna phyla trnahits", _TRNA_IDS)
+def trna_levels_from_ids(t):
+    """Dimensions read from the ids themselves; the SQL takes what the ids were made from."""
+    counts = t("trnahits").withColumnRenamed("n", "reads")
+    dims = trna_dimensions(counts, t("phyla")).select("ref_id", "phylum", "species", "aa", "anticodon")
+    return ct.level_counts(counts, dims, ct.TRNA_LEVELS).na.fill("")
+
+
 _RFAM = """with d as (select dim.*, coalesce(name,'unassigned') taxon from dim left join (select accession, name from acctax join tax using (taxid)) x using (accession))
  select sample, case grouping(family_class,taxon,family,accession) when 7 then 'class' when 11 then 'taxon' when 3 then 'class_taxon' when 13 then 'family' else 'accession' end as level,
  coalesce(family_class,'') family_class, coalesce(taxon,'') taxon, coalesce(family,'') family, coalesce(accession,'') accession, cast(sum(n) as bigint) reads
@@ -311,6 +329,14 @@ def kmer_lca(t):
     return _classified(t)
 
 
+@query("tax pntax uniq", _CLASSIFY + " select taxid, score, count(*) sequences, min(seq) first_seq, max(seq) last_seq from cls group by all")
+def kmer_lca_scores(t):
+    """The same assignment, counted by taxon and score."""
+    return _classified(t).groupBy("taxid", "score").agg(
+        F.count("*").alias("sequences"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
 @query("tax pntax uniq coll", _CLASSIFY + """,
  direct as (select sample, taxid, sum(n) n from coll join cls using (seq) group by all),
  clade as (select sample, lineage[d] taxid, sum(n) c from direct join nodes using (taxid) group by all)

@@ -136,6 +136,21 @@ TABLES: dict[str, str] = {
     "dimhits": """
  select concat('S',cast(l_orderkey%4 as string)) sample, concat('ref',cast(l_partkey as string)) ref_id, cast(l_quantity as bigint) n
  from lineitem""",
+    # Transfer-RNA references whose ids hold their dimensions in three ways, or not at all.
+    "trna": """
+ select p_partkey, case p_partkey%4 when 0 then concat(genus,'_tRNA-',aa,'-',ac,'-',cast(p_partkey as string),'-1')
+     when 1 then concat('tdbD',lpad(cast(p_partkey as string),8,'0'),'|',genus,'|',cast(p_size as string),'|',aa,'|',ac)
+     when 2 then concat('contig_',cast(p_size as string),'.',cast(p_partkey as string),'.trna',cast(p_size as string),'-',aa,ac)
+     else concat('unnamed_',cast(p_partkey as string)) end ref_id,
+   case when p_partkey%4<2 then genus end species, case when p_partkey%4<3 then aa end aa, case when p_partkey%4<3 then ac end anticodon
+ from (select p_partkey, p_size, case p_size%5 when 0 then 'Homo_sapiens' when 1 then 'Mus_musculus' when 2 then 'Escherichia_coli' when 3 then 'Zea_mays' else 'Danio_rerio' end genus,
+   case p_partkey%7 when 0 then 'Ala' when 1 then 'Gly' when 2 then 'fMet' when 3 then 'SeC' when 4 then 'Leu' when 5 then 'Ser' else 'Val' end aa,
+   case p_size%6 when 0 then 'AGC' when 1 then 'TTG' when 2 then 'CAT' when 3 then 'GCC' when 4 then 'TCA' else 'CAA' end ac from part) p""",
+    "phyla": """
+ select case r_regionkey when 0 then 'Homo_sapiens' when 1 then 'Mus_musculus' when 2 then 'Escherichia_coli' when 3 then 'Zea_mays' else 'Xenopus_laevis' end species,
+   case r_regionkey when 2 then 'Pseudomonadota' when 3 then 'Streptophyta' else 'Chordata' end phylum from region""",
+    "trnahits": """
+ select concat('S',cast(l_orderkey%4 as string)) sample, ref_id, cast(l_quantity as bigint) n from lineitem join trna on p_partkey=l_partkey""",
     # Accessions with a taxon; every second accession has none.
     "acctax": "select concat('acc',cast(s_suppkey*2 as string)) accession, cast(1000+s_suppkey as int) taxid from supplier",
     # Panel records of 13 biotypes and several species.

@@ -40,6 +40,22 @@ def adapter_trim(t):
     return trimmed(t).select("sample", "read_id", "seq", "qual")
 
 
+# Every second read with an adapter has one base of it misread.
+_MISREAD = f"""case when read_id like '%1' then concat(insert_seq, substring(seq,length(insert_seq)+1,2), translate(substring(seq,length(insert_seq)+3,1),'ACGT','CGTA'), substring(seq,length(insert_seq)+4)) else seq end"""
+_ADAPTER_ERRORS = f"""
+ m as (select sample, read_id, {_MISREAD} seq from reads),
+ c as (select *, list_filter(range(0, greatest(length(seq)-3,0)), lambda p: hamming(seq[p+1:p+least({len(ADAPTER)},length(seq)-p)], '{ADAPTER}'[1:least({len(ADAPTER)},length(seq)-p)]) <= floor(least({len(ADAPTER)},length(seq)-p)*0.1))[1] cut from m)"""
+
+
+@query("reads", f"with {_ADAPTER_ERRORS} select sample, read_id, case when cut is null then seq else seq[1:cut] end seq from c")
+def adapter_trim_errors(t):
+    seq, n = F.col("seq"), F.length("insert_seq")
+    rest = lambda at, size: F.substring("seq", n + at, F.lit(size) if isinstance(size, int) else size)
+    wrong = F.concat("insert_seq", rest(1, 2), F.translate(rest(3, 1), "ACGT", "CGTA"), rest(4, F.length("seq")))
+    reads = t("reads").select("sample", "read_id", F.when(F.col("read_id").endswith("1"), wrong).otherwise(seq).alias("seq"))
+    return rd.trim_adapter_with_errors(reads, ADAPTER, 0.1)
+
+
 def detected_sql(reads: str) -> str:
     """CTE ``adapters``(sample, adapter, reads) for the reads in ``reads``."""
     return f"""
