@@ -27,6 +27,8 @@ from .common import bound, stage, text_of
 WINDOW = 10
 BLOCK_WINDOWS = 400_000
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same in a text that still has its upper case.
+RAW_MARKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -144,8 +146,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_wi
 
 def without_spans(text: Column, spans: Column) -> Column:
     """The text less the words of the spans (at, size) and the marks between them."""
-    pieces = F.regexp_extract_all(text, F.lit(f"[^{MARKS[1:-2]}]+|{MARKS}"), F.lit(0))
-    first_is_word = F.when(text.rlike(rf"^[^{MARKS[1:-2]}]"), 0).otherwise(1)
+    pieces = F.regexp_extract_all(text, F.lit(f"[^{RAW_MARKS}]+|[{RAW_MARKS}]+"), F.lit(0))
+    first_is_word = F.when(text.rlike(f"^[^{RAW_MARKS}]"), 0).otherwise(1)
     # A piece is a word or the marks behind a word; both have a number among the words.
     hit = lambda place: F.exists(spans, lambda e: (place >= e["at"]) & (place < e["at"] + e["size"]))
 

@@ -7,7 +7,7 @@ exact binomial test rejects "the rules together would lose more than ``alpha`` o
 documents". The walk stops at the first failure, so the tests along the steps need no
 correction among each other; strata are corrected by Bonferroni. With probability
 ``1 - delta`` no stratum then loses more than ``alpha`` of its good documents. A stratum
-without enough labels (436 good ones for four strata and no losses) gets no cutoff and
+without enough labels (437 good ones for four strata and no losses) gets no cutoff and
 rejects nothing.
 
 All counts are JVM expressions inside a row: no row is exploded, and nothing but narrow
