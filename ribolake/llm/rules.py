@@ -1,12 +1,12 @@
 """Quality rules with thresholds whose false rejections are bounded.
 
 A rule rejects a document whose metric is above a cutoff. Cutoffs come from labelled
-documents, per stratum (language): all rules are tightened together, step by step along
-fixed grids from the loosest cutoffs to the tightest, and a step is accepted while the
+documents, per stratum (language). In one fixed sequence of steps one rule after the other
+is tightened along its grid, from no cutoff to the tightest, and a step is accepted while the
 exact binomial test rejects "the rules together would lose more than ``alpha`` of the good
-documents". The walk stops at the first failure, so the tests along the steps need no
+documents that the base rules keep". The walk stops at the first failure, so the tests along the steps need no
 correction among each other; strata are corrected by Bonferroni. With probability
-``1 - delta`` no stratum then loses more than ``alpha`` of its good documents. A stratum
+``1 - delta`` no stratum then loses more than ``alpha`` of these. A stratum
 without enough labels (437 good ones for four strata and no losses) gets no cutoff and
 rejects nothing.
 
@@ -31,14 +31,15 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 
-# Metric and its grid of cutoffs, loosest first.
+# Metric and its grid of cutoffs, loosest first. The rules are tightened in this order: signs
+# and overlong words are rare in prose, repetition is not.
 GRIDS = {
     "symbol_share": (300, 200, 150, 100, 70, 50, 30, 20),
-    "dup_line_share": (500, 400, 300, 250, 200, 150, 100, 50),
-    "repeat_share": (300, 250, 200, 150, 100, 70, 50, 30),
     "word_length": (2500, 2000, 1700, 1500, 1300, 1200, 1100, 1000),
+    "repeat_share": (300, 250, 200, 150, 100, 70, 50, 30),
+    "dup_line_share": (500, 400, 300, 250, 200, 150, 100, 50),
 }
-STEPS = 8  # of every grid
+STEPS = sum(map(len, GRIDS.values()))
 ALPHA = 0.01
 DELTA = 0.05
 
@@ -133,15 +134,20 @@ def certified(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) ->
     ``holdout`` has the good documents with stratum and metrics. Per stratum only the
     counts between neighbouring steps are kept.
     """
-    # A document above j cutoffs of a rule lies above the j tightest; the rule with the most decides.
-    above = F.greatest(*[sum((F.when(F.col(rule) > c, 1).otherwise(0) for c in grid), F.lit(0)) for rule, grid in GRIDS.items()])
-    counted = holdout.groupBy("stratum", above.alias("above")).count()
+    # A document above j cutoffs of a rule lies above the j tightest, which are its last steps.
+    lost_at, done = [], 0
+    for rule, grid in GRIDS.items():
+        above = sum((F.when(F.col(rule) > c, 1).otherwise(0) for c in grid), F.lit(0))
+        lost_at.append(F.when(above > 0, F.lit(done + len(grid) + 1) - above))
+        done += len(grid)
+    first = F.coalesce(F.least(*lost_at), F.lit(STEPS + 1))
+    counted = holdout.groupBy("stratum", first.alias("first")).count()
     per_stratum = stage(counted.groupBy("stratum").agg(F.sum("count").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("above", "count"))).alias("by_place")), "rules-counts")  # at most one entry a step
+        F.collect_list(F.struct("first", "count"))).alias("by_place")), "rules-counts")  # at most one entry a step
     strata = max(per_stratum.count(), 1)
     lost = F.aggregate(
         F.map_entries("by_place"), F.lit(0).cast("bigint"),
-        lambda total, e: total + F.when(e["key"] > STEPS - F.col("step"), e["value"]).otherwise(0),
+        lambda total, e: total + F.when(e["key"] <= F.col("step"), e["value"]).otherwise(0),
     )
     tests = (
         per_stratum.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(STEPS)))).withColumn("k", lost)
@@ -151,16 +157,20 @@ def certified(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) ->
     )
     walk = Window.partitionBy("stratum").orderBy("step")
     accepted = tests.withColumn("all_passed", F.min("passed").over(walk)).filter("all_passed")
-    return accepted.groupBy("stratum").agg(F.max("step").alias("step")).select(
-        "stratum", "step", *[F.element_at(F.array(*map(F.lit, grid)), F.col("step")).alias(f"{rule}_cutoff") for rule, grid in GRIDS.items()]
-    )
+    cutoffs, done = [], 0
+    for rule, grid in GRIDS.items():
+        own = F.least(F.col("step") - done, F.lit(len(grid)))
+        cutoffs.append(F.when(own > 0, F.get(F.array(*map(F.lit, grid)), own - 1)).alias(f"{rule}_cutoff"))
+        done += len(grid)
+    return accepted.groupBy("stratum").agg(F.max("step").alias("step")).select("stratum", "step", *cutoffs)
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Every document with its counts, the base verdict and ``kept``."""
     values = rule_values(stage(metrics(docs, stratum), "rules-metrics"))
     good = usable_labels(labels).filter("label = 1").select("doc_id")
-    holdout = values.join(good, "doc_id", "left_semi")
+    # What the base rules reject is not lost by the certified ones.
+    holdout = values.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi")
     cutoffs = stage(certified(holdout, alpha, delta), "rules-cutoffs")
     over = F.lit(False)
     for rule in GRIDS:
@@ -172,7 +182,11 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: flo
 
 def oracle_sql() -> str:
     word = r"[^\x20\x09-\x0D]+"
-    grid = ", ".join(f"({i + 1}, {', '.join(str(g[i]) for g in GRIDS.values())})" for i in range(STEPS))
+    rows, done = [], 0
+    for grid in GRIDS.values():
+        rows.append([str(grid[min(i - done, len(grid) - 1)]) if i >= done else "cast(null as int)" for i in range(STEPS)])
+        done += len(grid)
+    grid = ", ".join(f"({i + 1}, {', '.join(cuts)})" for i, cuts in enumerate(zip(*rows)))
     over = " or ".join(f"{r} > g.{r}_cut" for r in GRIDS)
     return rf"""
     with d as (select row_number() over () n, doc_id, case when lang is null then 'b' else 'a' || lang end stratum, coalesce(text, '') t from documents),
@@ -194,7 +208,7 @@ def oracle_sql() -> str:
                  case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end repeat_share,
                  case when n_words > 0 then 100 * word_chars // n_words else 0 end word_length from v0),
     good as (select doc_id from labels where doc_id is not null and quality is not null group by doc_id having min(quality) = 1 and max(quality) = 1),
-    h as (select * from v where doc_id in (select doc_id from good)),
+    h as (select * from v where not base_failed and doc_id in (select doc_id from good)),
     g(i, {', '.join(f'{r}_cut' for r in GRIDS)}) as (values {grid}),
     k as (select stratum, g.i, count(*) n, count(*) filter ({over}) k from h, g group by all),
     p as (select *, case when k >= n * {ALPHA} then false else
