@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequence import has_ambiguous, normalise, revcomp
 from .align import build_index, mismatch_join, panel_tiles, tile_seeds
+from .ranking import ranked
 from .staging import join_side, stage
 
+# Fixed value: mixed into packed m-mers before the smallest is chosen, so that runs of A are not chosen everywhere.
+MINIMIZER_MASK = 0x1E3779B97F4A7C15
+# Start positions of one piece of a sequence.
+PIECE = 512
+
 
 def common_prefix(a: Column, b: Column) -> Column:
     """Longest common beginning of two arrays."""
@@ -57,6 +63,71 @@ def read_kmers(sequences: DataFrame, k: int) -> DataFrame:
     return rows.filter(~has_ambiguous(F.col("f"))).select("seq", F.least("f", "r").alias("kmer"))
 
 
+def pieces(rows: DataFrame, text: Column, starts: Column, k: int) -> DataFrame:
+    """``rows`` unfolded to the unambiguous stretches ``_piece`` of k bases or more of ``text`` (bytes).
+
+    A stretch holds k-mers of at most ``PIECE`` start positions, from one of ``starts`` (from 1) on; every
+    k-mer without an unknown base is in one stretch.
+    """
+    cut = rows.select("*", text.alias("_text"), F.explode(starts).alias("_at")).select(
+        *rows.columns, F.substring("_text", F.col("_at").cast("int"), F.lit(PIECE + k - 1)).cast("string").alias("_cut")
+    )
+    return cut.select(*rows.columns, F.explode(F.split("_cut", "[^ACGT]+")).alias("_piece")).filter(F.length("_piece") >= k)
+
+
+def minimizers(rows: DataFrame, k: int, m: int) -> DataFrame:
+    """Each distinct minimizer of every ``_piece`` as a number, and how many of its k-mers it stands for.
+
+    The minimizer of a k-mer is the m-mer in it, on either strand, whose number is the smallest once the
+    mask is mixed in. It is chosen from the k-mer alone, so equal k-mers have equal ones everywhere.
+    """
+    if not 1 <= m <= min(k, 31):
+        raise ValueError(f"minimizers of {m} bases: at least 1, at most 31 and the {k} of the k-mer")
+    mask, width = F.lit(MINIMIZER_MASK % 4**m), k - m + 1
+    kept = [c for c in rows.columns if c != "_piece"]
+    # Bases as digits to base 4 on both strands, once a piece. These and the arrays below are used more than once
+    # above them, so they stay columns of their own and are not computed again for each m-mer.
+    both = rows.select(
+        *kept, F.translate("_piece", "ACGT", "0123").alias("_fwd"), F.reverse(F.translate("_piece", "ACGT", "3210")).alias("_rev")
+    )
+    size = F.length("_fwd")
+    number = lambda at: F.conv(
+        F.least(F.substring("_fwd", at, F.lit(m)), F.substring("_rev", size - m + 2 - at, F.lit(m))), 4, 10
+    ).cast("bigint").bitwiseXOR(mask)
+    every = both.select(*kept, F.transform(F.sequence(F.lit(1), size - m + 1), number).alias("_every"))
+    least = F.transform("_every", lambda x, i: F.array_min(F.slice("_every", i + 1, F.lit(width))))
+    chosen = every.select(*kept, F.slice(least, F.lit(1), F.size("_every") - width + 1).alias("_least"))
+    once = F.transform(
+        F.array_distinct("_least"),
+        lambda x: F.struct(x.bitwiseXOR(mask).alias("minimizer"), F.size(F.filter("_least", lambda y: y == x)).alias("n")),
+    )
+    return chosen.select(*kept, F.inline(once))
+
+
+def minimizer_lca_table(panel: DataFrame, taxonomy: DataFrame, k: int = 35, m: int = 31) -> DataFrame:
+    """Minimizer (a ``bigint``) to lineage of the lowest common ancestor of all taxa that contain it.
+
+    ``panel``: ref_id, seq, taxid. Of k - m + 2 positions about two are kept, so the table is several
+    times smaller than one of all k-mers. Minimizers that a stretch repeats are one row before the shuffle, and
+    only the first and last place of its taxa in the order of lineages is aggregated, so partial sums are
+    two numbers a minimizer. The common beginning of these two lineages is common to all between.
+    References whose taxon is null or not in ``taxonomy`` are left out; of a taxon with two lineages both count.
+    """
+    places = stage(ranked(taxonomy.select("taxid", "lineage"), ["lineage", "taxid"], "place"), "lineages")
+    side = join_side(places, places.count(), 256)
+    tiles = panel_tiles(panel, PIECE, k)
+    # Within the context the tile's own bases come after its left margin.
+    begin = F.col("tile") * PIECE - F.col("context_start") + 1
+    cut = pieces(tiles.select("ref_id", "context", begin.alias("_begin")), F.col("context"), F.array("_begin"), k)
+    taxa = panel.select("ref_id", "taxid").join(side.select("taxid", "place"), "taxid").select("ref_id", "place")
+    found = minimizers(cut.select("ref_id", "_piece"), k, m).join(taxa, "ref_id")
+    ends = found.groupBy("minimizer").agg(F.min("place").alias("_first"), F.max("place").alias("_last"))
+    named = lambda end: side.select(F.col("place").alias(end), F.col("lineage").alias(f"{end}_lineage"))
+    return ends.join(named("_first"), "_first").join(named("_last"), "_last").select(
+        "minimizer", common_prefix(F.col("_first_lineage"), F.col("_last_lineage")).alias("lineage")
+    )
+
+
 def _is_prefix(short: Column, long: Column) -> Column:
     return F.slice(long, 1, F.size(short)) == short
 
@@ -73,6 +144,27 @@ def classify(sequences: DataFrame, lca: DataFrame, k: int) -> DataFrame:
     per_taxon = read_kmers(sequences.select("seq").distinct(), k).join(side, "kmer").groupBy("seq", "lineage").agg(
         F.count("*").alias("hits")
     )
+    return _best_taxa(sequences, per_taxon)
+
+
+def classify_by_minimizers(sequences: DataFrame, table: DataFrame, k: int = 35, m: int = 31) -> DataFrame:
+    """Taxon of each distinct sequence; each of its k-mers counts for the taxon of its minimizer.
+
+    The rules of ``classify``; ``table`` was made with the same ``k`` and ``m``. With ``m`` equal to ``k`` the
+    result is that of ``classify``. A sequence asks once for each distinct minimizer of a stretch.
+    """
+    table = stage(table, "minimizer-lca")
+    side = join_side(table, table.count(), 160)
+    unique = sequences.select("seq").distinct()
+    text = F.encode(normalise(F.col("seq")), "UTF-8")
+    starts = F.sequence(F.lit(1), F.length("seq") - k + 1, F.lit(PIECE))
+    asked = minimizers(pieces(unique.filter(F.length("seq") >= k), text, starts, k), k, m)
+    per_taxon = asked.join(side, "minimizer").groupBy("seq", "lineage").agg(F.sum("n").alias("hits"))
+    return _best_taxa(sequences, per_taxon)
+
+
+def _best_taxa(sequences: DataFrame, per_taxon: DataFrame) -> DataFrame:
+    """The taxon with the best path from the root for each sequence, from its hits per lineage."""
     listed = per_taxon.groupBy("seq").agg(F.collect_list(F.struct("lineage", "hits")).alias("taxa"))
     path_score = lambda t: F.aggregate(
         F.filter("taxa", lambda u: _is_prefix(u["lineage"], t["lineage"])), F.lit(0).cast("bigint"), lambda s, u: s + u["hits"]

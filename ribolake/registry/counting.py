@@ -337,6 +337,46 @@ def kmer_lca_scores(t):
     )
 
 
+# A k-mer is known by its minimizer: the m-mer, on either strand, with the smallest number after the mask.
+TAXON_K, TAXON_M = 35, 31
+_NUMBER = "('0b'||replace(replace(replace(replace(least(w, reverse(translate(w,'ACGT','TGCA'))),'A','00'),'C','01'),'G','10'),'T','11'))::bigint"
+_MASK = tx.MINIMIZER_MASK % 4**TAXON_M
+
+
+def _minimized(name: str, source: str) -> str:
+    return f""" {name}_k as (select distinct k from (select substring(seq,cast(p as int),{TAXON_K}) k from
+   (select seq, unnest(range(1,length(seq)-{TAXON_K - 2})) p from {source}) a) b where not contains(k,'N')),
+ {name} as (select k, xor(min(xor({_NUMBER}, {_MASK}::bigint)), {_MASK}::bigint) km from
+   (select k, substring(k,cast(unnest(range(1,{TAXON_K - TAXON_M + 2})) as int),{TAXON_M}) w from {name}_k) c group by k)"""
+
+
+def _places(name: str, source: str, columns: str) -> str:
+    return f""" {name} as (select {columns}, km from (select {columns}, substring(seq,cast(p as int),{TAXON_K}) k from
+   (select *, unnest(range(1,length(seq)-{TAXON_K - 2})) p from {source}) a) b join {name}_min using (k))"""
+
+
+_MINIMIZER_LCA = _LCA[: _LCA.index(" km as")] + _minimized("pk_min", "pntax") + "," + _places("pk", "pntax", "taxid") + """,
+ km as (select distinct km, taxid from pk),
+""" + _LCA[_LCA.index(" anc as"):]
+_MINIMIZER_CLASSIFY = _MINIMIZER_LCA + "," + _minimized("rk_min", "uniq") + "," + _places("rk", "uniq", "seq") + "," + _CLASSIFY[
+    _CLASSIFY.index(" hit as"):
+]
+
+
+@query("tax pntax", _MINIMIZER_LCA + " select km minimizer, taxid from lcan")
+def minimizer_lca_table(t):
+    return tx.minimizer_lca_table(t("pntax"), t("tax"), TAXON_K, TAXON_M).select("minimizer", F.element_at("lineage", -1).alias("taxid"))
+
+
+@query("tax pntax uniq", _MINIMIZER_CLASSIFY + " select taxid, score, count(*) sequences, min(seq) first_seq, max(seq) last_seq from cls group by all")
+def minimizer_lca(t):
+    """Assignment with k-mers of 35 bases through a table of their minimizers, counted by taxon and score."""
+    table = tx.minimizer_lca_table(t("pntax"), t("tax"), TAXON_K, TAXON_M)
+    return tx.classify_by_minimizers(t("uniq"), table, TAXON_K, TAXON_M).groupBy("taxid", "score").agg(
+        F.count("*").alias("sequences"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
 @query("tax pntax uniq coll", _CLASSIFY + """,
  direct as (select sample, taxid, sum(n) n from coll join cls using (seq) group by all),
  clade as (select sample, lineage[d] taxid, sum(n) c from direct join nodes using (taxid) group by all)

@@ -198,6 +198,48 @@ def test_lca_on_a_small_tree(spark):
     assert report == {1: (3, 0), 2: (3, 1), 3: (2, 2), 0: (4, 4)}
 
 
+def test_minimizers_of_whole_length_classify_as_kmers(spark):
+    rnd = random.Random(9)
+    base = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    taxonomy = spark.createDataFrame(
+        [(1, "root", "root", [1]), (2, "g", "g", [1, 2]), (3, "s", "s1", [1, 2, 3]), (4, "s", "s2", [1, 2, 4]), (5, "s", "s3", [1, 5])],
+        "taxid int, rank string, name string, lineage array<int>",
+    )
+    shared, own3, own4 = base(1500), base(1200), base(700)
+    refs = [("a", own3 + "N" + shared + "A" * 300, 3), ("b", rc(shared) + "nn" + own4, 4), ("c", base(90) + own3[500:620].lower().replace("t", "u"), 5), ("d", base(60), None), ("e", base(60), 99), ("f", "", 3), ("g", None, 3)]
+    panel = spark.createDataFrame(refs, "ref_id string, seq string, taxid int")
+    reads = [own3[i : i + 40] for i in range(0, 1160, 37)] + [rc(shared[i : i + 60]) for i in range(0, 1440, 91)] + [own4, shared + own4, own3[:30] + "N" + own3[30:70], base(50), "A" * 50, "ACGT", "", refs[3][1]]
+    asked = spark.createDataFrame([(r,) for r in [*reads, None]], "seq string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    exact = rows(tx.classify(asked.filter("seq is not null"), tx.kmer_lca_table(panel, taxonomy, 21), 21))
+    assert rows(tx.classify_by_minimizers(asked.filter("seq is not null"), tx.minimizer_lca_table(panel, taxonomy, 21, 21), 21, 21)) == exact
+    # Unrelated stretches share no 15-mers here, so shorter minimizers find the same taxa in a much smaller table;
+    # a k-mer over a seam is unknown itself but may have a known minimizer, so scores may only grow.
+    table = tx.minimizer_lca_table(panel, taxonomy, 25, 15)
+    every = tx.kmer_lca_table(panel, taxonomy, 25)
+    named = lambda df: {r["seq"]: (r["taxid"], r["score"]) for r in df.collect()}
+    want, got = named(tx.classify(asked.filter("seq is not null"), every, 25)), named(tx.classify_by_minimizers(asked, table, 25, 15))
+    assert {s: t for s, (t, _) in got.items() if s is not None} == {s: t for s, (t, _) in want.items()}
+    assert got[None] == (0, 0) and all(got[s][1] >= n for s, (_, n) in want.items())
+    assert table.count() * 4 < every.count()
+    assert tx.minimizer_lca_table(panel.limit(0), taxonomy).count() == 0
+
+
+def test_minimizers_against_a_plain_loop(spark):
+    rnd = random.Random(2)
+    text = "".join(rnd.choice("ACGT") for _ in range(700))
+    k, m, mask = 35, 31, tx.MINIMIZER_MASK % 4**31
+    number = lambda w: int(min(w, rc(w)).translate(str.maketrans("ACGT", "0123")), 4)
+    want = {}
+    for i in range(len(text) - k + 1):
+        least = min(number(text[i + j : i + j + m]) ^ mask for j in range(k - m + 1)) ^ mask
+        want[least] = want.get(least, 0) + 1
+    rows = tx.minimizers(spark.createDataFrame([(text,)], "_piece string"), k, m).collect()
+    assert {r["minimizer"]: r["n"] for r in rows} == want and len(rows) == len(want)
+    with pytest.raises(ValueError):
+        tx.minimizers(spark.createDataFrame([(text,)], "_piece string"), 35, 32)
+
+
 def test_rrna_screen(spark):
     panel = spark.createDataFrame([("r", "ACGTTGCAACGGATCCTTAGCA")], "ref_id string, seq string")
     reads = spark.createDataFrame([("ACGTTGCAACGGATC",), (rc("ACGTTGCAACGGATC"),), ("T" * 20,), ("ACGT",)], "seq string")
