@@ -60,7 +60,12 @@ def check_references(references: DataFrame) -> None:
 
 
 def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
-    """Cut each reference into tiles with ``margin`` bases of context on both sides."""
+    """Cut each reference into tiles with ``margin`` bases of context on both sides.
+
+    References read as tiles of ``tile`` bases (ref_id, tile, seq, without gaps) get their context from their neighbours.
+    """
+    if "tile" in panel.columns:
+        return _with_context(panel, tile, margin)
     text = F.translate(normalise(F.col("seq")), "-. \t", "")
     parts = with_panel(panel).select(*REFERENCE, text.alias("_seq")).filter("length(_seq) > 0").select(
         *REFERENCE,
@@ -85,6 +90,29 @@ def panel_tiles(panel: DataFrame, tile: int, margin: int) -> DataFrame:
     )
 
 
+def _with_context(tiles: DataFrame, tile: int, margin: int) -> DataFrame:
+    """Tiles with the ends of their neighbours: each tile is sent to itself, and its ends to the tiles beside it."""
+    if margin > tile:
+        raise ValueError(f"tiles of {tile} bases are shorter than the context of {margin}")
+    text, at = normalise(F.col("seq")), F.col("tile").cast("bigint")
+    sent = F.array(
+        F.struct(at.alias("tile"), F.lit("mid").alias("part"), text.alias("text")),
+        F.struct((at + 1).alias("tile"), F.lit("left").alias("part"), F.right(text, F.lit(margin)).alias("text")),
+        F.struct((at - 1).alias("tile"), F.lit("right").alias("part"), F.substring(text, 1, margin).alias("text")),
+    )
+    part = lambda name: F.max(F.when(F.col("part") == name, F.col("text")))
+    joined = (
+        with_panel(tiles).filter(F.length("seq") > 0).select(*REFERENCE, F.inline(sent)).groupBy(*REFERENCE, "tile")
+        .agg(part("left").alias("_left"), part("mid").alias("_mid"), part("right").alias("_right"))
+        .filter("_mid is not null")
+    )
+    sizes = with_panel(tiles).groupBy(*REFERENCE).agg(F.sum(F.length("seq")).alias("ref_len"))
+    return joined.join(sizes, list(REFERENCE)).select(
+        *REFERENCE, "ref_len", "tile", (F.col("tile") * tile - F.coalesce(F.length("_left"), F.lit(0))).alias("context_start"),
+        F.encode(F.concat(F.coalesce("_left", F.lit("")), "_mid", F.coalesce("_right", F.lit(""))), "UTF-8").alias("context"),
+    )
+
+
 def tile_seeds(tiles: DataFrame, k: int, tile: int, strands: str = "both") -> DataFrame:
     """k-mers that start inside each tile: (kmer, panel, ref_id, tile, at, strand)."""
     begin = F.col("tile") * tile
@@ -148,11 +176,14 @@ def build_index(
     """Index references (ref_id, seq and, for several panels, panel) once for any number of joins.
 
     An id may occur in several panels but only once in each; with panels, hits carry the
-    panel they are on. ``k`` defaults to a length that fits the panel's size; it may not exceed the
+    panel they are on. References may come as tiles (ref_id, tile, seq) of exactly ``tile`` bases, as
+    ``read_fasta_tiles`` gives them; then no row holds a whole one. ``k`` defaults to a length that fits the panel's size; it may not exceed the
     shortest sequence that will be aligned.
     """
-    tile = max(tile, max_length)
-    check_references(with_panel(panel))
+    tiled = "tile" in panel.columns
+    if not tiled:
+        tile = max(tile, max_length)
+    check_references(with_panel(panel.filter("tile = 0") if tiled else panel))
     tiles = stage(panel_tiles(panel, tile, max_length), "tiles")
     # A tile's own bases, without its margins.
     own = F.least(F.lit(tile), F.col("ref_len") - F.col("tile") * tile)

@@ -277,12 +277,17 @@ def extract_sequences(regions: DataFrame, contigs: DataFrame, chunk: int = 4096)
     """Strand-aware subsequence of each region, named ``contig:start-end(strand)``.
 
     Contigs (contig, seq) are cut into chunks first, so only the chunks a region
-    touches travel to it and no row of the join carries a chromosome.
+    touches travel to it and no row of the join carries a chromosome. Contigs that were read as
+    tiles of ``chunk`` bases (contig, tile, seq) are joined as they are.
     """
-    pieces = contigs.select(
-        "contig", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("_chunk", "_text")
-    )
-    ends = contigs.select("contig", F.length("seq").cast("bigint").alias("_size"))
+    if "tile" in contigs.columns:
+        pieces = contigs.select("contig", F.col("tile").cast("int").alias("_chunk"), F.col("seq").alias("_text"))
+        ends = contigs.groupBy("contig").agg(F.sum(F.length("seq")).alias("_size"))
+    else:
+        pieces = contigs.select(
+            "contig", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("_chunk", "_text")
+        )
+        ends = contigs.select("contig", F.length("seq").cast("bigint").alias("_size"))
     inside = regions.join(ends, "contig").filter((F.col("start") >= 0) & (F.col("end") <= F.col("_size"))).drop("_size")
     asked = inside.select("contig", "start", "end", "strand").distinct()
     asked = asked.withColumn(

@@ -14,6 +14,8 @@ from ..operators import intervals as iv
 from ..operators import seedstore as ss
 from ..operators import taxonomy as tx
 from ..operators.staging import staging_folder
+from ..sources import sinks
+from ..sources.fasta_tiles import read_fasta_tiles
 from .catalog import query
 
 HOST_ORDER = ("host_miRNA", "host_tRNA", "host_rRNA", "host_other")
@@ -347,10 +349,17 @@ _REGIONS = """rg as (select contig, i*40 a, least(i*40+16+(i*7)%33, length(dna))
   (select contig, dna, unnest(range(0, 1+(length(dna)-1)//40)) i from ct where length(dna)>0) x)"""
 
 
-@query("ct", f"""with {_REGIONS} select contig, a as start_pos, b as end_pos, strand, concat(contig,':',cast(a as varchar),'-',cast(b as varchar),'(',strand,')') fasta_id,
- case strand when '-' then reverse(translate(substring(dna,cast(a+1 as int),cast(b-a as int)),'ACGT','TGCA')) else substring(dna,cast(a+1 as int),cast(b-a as int)) end seq from rg""")
+_REGION_SQL = f"""with {_REGIONS} select contig, a as start_pos, b as end_pos, strand, concat(contig,':',cast(a as varchar),'-',cast(b as varchar),'(',strand,')') fasta_id,
+ case strand when '-' then reverse(translate(substring(dna,cast(a+1 as int),cast(b-a as int)),'ACGT','TGCA')) else substring(dna,cast(a+1 as int),cast(b-a as int)) end seq from rg"""
+
+
+@query("ct", _REGION_SQL)
 def getfasta(t):
     """Regions every 40 bases of every contig."""
+    return _regions_of(t, t("ct").select("contig", F.col("dna").alias("seq")))
+
+
+def _regions_of(t, contigs):
     size = F.length("dna")
     every = t("ct").filter(size > 0).select("contig", size.alias("size"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((size - 1) / 40))).alias("i"))
     a = F.col("i") * 40
@@ -358,5 +367,26 @@ def getfasta(t):
         "contig", a.alias("start"), F.least(a + 16 + (F.col("i") * 7) % 33, "size").cast("bigint").alias("end"),
         F.when(F.col("i") % 2 == 1, "-").otherwise("+").alias("strand"),
     )
-    out = iv.extract_sequences(regions, t("ct").select("contig", F.col("dna").alias("seq")), chunk=256)
+    out = iv.extract_sequences(regions, contigs, chunk=256)
     return out.withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+
+
+def _contig_tiles(t, tile):
+    """The contigs written as FASTA and read back as tiles, by splits that are shorter than many records."""
+    rows = t("ct").select("contig", F.regexp_replace("dna", "(.{60})", "$1\n").alias("seq"))
+    path = f"{staging_folder(rows.sparkSession)}/contigs-{uuid.uuid4().hex}"
+    sinks.write_fasta(rows, path, "contig")
+    return read_fasta_tiles(rows.sparkSession, path, tile, split_bytes=16 << 10).withColumnRenamed("ref_id", "contig")
+
+
+@query("ct", """select contig, cast(i as bigint) tile, cast(i*64 as bigint) start_pos, substring(dna, cast(i*64+1 as int), 64) seq
+ from (select contig, dna, unnest(range(0, 1+greatest(length(dna)-1,0)//64)) i from ct) x""")
+def fasta_tiles(t):
+    """Tiles of 64 bases of records that several tasks read."""
+    return _contig_tiles(t, 64).select("contig", "tile", F.col("start").alias("start_pos"), "seq")
+
+
+@query("ct", _REGION_SQL)
+def getfasta_tiles(t):
+    """The regions of ``getfasta``, cut from tiles of a FASTA file."""
+    return _regions_of(t, _contig_tiles(t, 256).select("contig", "tile", "seq"))

@@ -5,6 +5,8 @@ import pytest
 from ribolake.operators import panels as pl
 from ribolake.sources import sinks
 from ribolake.sources.fasta import read_fasta
+from ribolake.operators import align as al
+from ribolake.sources.fasta_tiles import _stretches, read_fasta_tiles
 from ribolake.sources.fastq import read_fastq, read_samples
 from ribolake.sources.gff import gff_intervals, gff_wide, read_gff
 from ribolake.sources.sam import read_sam
@@ -30,6 +32,8 @@ def test_fastq_plain_and_gzip(spark, tmp_path):
     got = read_fastq(spark, str(tmp_path / "b.fastq.gz"), "S").collect()
     assert len(got) == 501 and {r["sample"] for r in got} == {"S"}
     assert ("bad", "AC") in {(r["read_id"], r["seq"]) for r in got}
+    (tmp_path / "none.fastq").write_text("")
+    assert read_fastq(spark, str(tmp_path / "none.fastq")).count() == 0
     both = read_samples(spark, [("x", str(tmp_path / "a.fastq")), ("y", str(tmp_path / "b.fastq.gz"))])
     assert both.filter("sample = 'x'").count() == 500
 
@@ -46,6 +50,79 @@ def test_fasta(spark, tmp_path):
     assert got == {"a": ("first > second", "ACGTACGT"), "b": ("", "TTTT"), "c": ("only header", "")}
 
 
+FASTA = (
+    "no record yet\n>a first > second\r\nACGTAC\nGT>T\n\n>b\n>c only header, 0123456789\n>long\n" + "ACGTTGCAN" * 150 + "\n"
+    + "\n".join("ACGGT" * 4 for _ in range(40)) + "\n>a twice\nT T\nG"
+)
+
+
+def plain_records(text):
+    out, at = [], 0
+    for line in text.split("\n"):
+        if line.startswith(">"):
+            out.append([at, line[1:].strip(), ""])
+        elif out:
+            out[-1][2] += "".join(line.split())
+        at += len(line) + 1
+    return [(at, *(header.split(None, 1) + ["", ""])[:2], seq) for at, header, seq in out]
+
+
+def rebuilt(df, tile):
+    found = {}
+    for r in df.collect():
+        assert r["start"] == r["tile"] * tile and len(r["seq"]) <= tile
+        found.setdefault((r["record_at"], r["ref_id"], r["description"]), []).append((r["start"], r["seq"]))
+    for pieces in found.values():
+        pieces.sort()
+        assert [s for s, _ in pieces] == [i * tile for i in range(len(pieces))] and all(len(x) == tile for _, x in pieces[:-1])
+    return sorted((*key, "".join(x for _, x in pieces)) for key, pieces in found.items())
+
+
+def test_fasta_tiles_for_any_split(spark, tmp_path):
+    (tmp_path / "x.fa").write_bytes(FASTA.encode())
+    with gzip.open(tmp_path / "y.fa.gz", "wb") as f:
+        f.write(FASTA.encode())
+    want = plain_records(FASTA)
+    assert len(want) == 5 and max(len(r[3]) for r in want) > 2000
+    for split, tile in ((7, 100), (41, 64), (1000, 1000), (1 << 20, 4096)):
+        df = read_fasta_tiles(spark, str(tmp_path / "x.fa"), tile, split)
+        assert rebuilt(df, tile) == want, split
+    assert rebuilt(read_fasta_tiles(spark, str(tmp_path / "y.fa.gz"), 64), 64) == want
+    (tmp_path / "empty.fa").write_text("")
+    assert read_fasta_tiles(spark, str(tmp_path / "empty.fa")).count() == 0
+
+
+def test_stretches_of_every_split_make_the_file():
+    import io
+
+    text = FASTA.encode()
+    for size in range(1, 160):
+        got, seqs = [], []
+        for start in range(0, len(text), size):
+            for record, header, at, bases in _stretches(io.BytesIO(text), start, min(start + size, len(text))):
+                if record is not None and (not got or got[-1][0] != record):
+                    got.append((record, header.decode().strip()))
+                    seqs.append(b"")
+                if seqs:
+                    seqs[-1] += bases
+        joined = [(at, *(h.split(None, 1) + ["", ""])[:2], s.decode()) for (at, h), s in zip(got, seqs)]
+        assert joined == plain_records(FASTA), size
+
+
+def test_index_of_tiles_is_the_index_of_records(spark, tmp_path):
+    import random
+
+    rnd = random.Random(1)
+    refs = [(f"r{i}", "".join(rnd.choice("ACGTN" if i else "ACGT") for _ in range(n))) for i, n in enumerate((3000, 700, 512, 256, 30))]
+    (tmp_path / "x.fa").write_text("".join(f">{n}\n{s}\n" for n, s in refs))
+    whole = al.build_index(spark.createDataFrame(refs, "ref_id string, seq string"), max_length=64, tile=256)
+    tiled = al.build_index(read_fasta_tiles(spark, str(tmp_path / "x.fa"), 256, 300).select("ref_id", "tile", "seq"), max_length=64, tile=256)
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert tiled.k == whole.k and rows(tiled.tiles) == rows(whole.tiles) and rows(tiled.seeds) == rows(whole.seeds)
+    with pytest.raises(ValueError):
+        al.build_index(read_fasta_tiles(spark, str(tmp_path / "x.fa"), 16).select("ref_id", "tile", "seq"), max_length=64, tile=16)
+
+
 def test_gff(spark, tmp_path):
     line = lambda *f: "\t".join(map(str, f))
     (tmp_path / "x.gff").write_text("\n".join([
