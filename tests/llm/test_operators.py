@@ -241,6 +241,25 @@ def test_pii_added_kinds_and_scores(spark):
     assert first.score > second.score
 
 
+def test_pii_secrets_need_context_and_even_characters(spark):
+    key = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    texts = {
+        1: f'token = "{key}"', 2: f"commit {key}", 3: f"the token of commit {key}", 4: key, 5: f"{key} is the api key",
+        6: "token " + "ab1" * 14, 7: "password: " + "correcthorsebatterystaplexyz", 8: "bearer " + (key * 13)[:512], 9: "bearer " + (key * 13)[:513],
+        10: f"token {'.' * 41}{key}", 11: f"passwd {key[:19]}", 12: f"SECRET={key.upper()}\u00e9", 13: f"token -{key[:20]}_",
+    }
+    got = {r.doc_id: r for r in pii.digest(pii.found_pii(spark.createDataFrame([row(i, t) for i, t in texts.items()], SCHEMA))).collect()}
+    assert {i for i, r in got.items() if r.n_secret} == {1, 5, 8, 12, 13}
+    assert got[1].spans == "secret:9:49" and got[1].scores == "60" and got[1].n_spans == 1 and got[5].spans == "secret:0:40"
+    assert got[4].spans == got[4].scores == "" and got[4].base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_pii_context_on_both_sides_raises_and_lowers(spark):
+    text = ["10.0.0.1", "server 10.0.0.1", "10.0.0.1 is the host", "version 10.0.0.1", "server version 10.0.0.1", "order 123-45-6789, ssn", "ssn 123-45-6789"]
+    found = {r.doc_id: [round(s.score, 2) for s in r.found] for r in pii.found_pii(spark.createDataFrame([row(i, t) for i, t in enumerate(text)], SCHEMA)).collect()}
+    assert [found[i] for i in range(7)] == [[0.6], [0.9], [0.9], [0.3], [0.6], [], [0.6]]
+
+
 def test_pii_long_runs_are_fast(spark):
     rows = [row(1, "a" * 200_000), row(2, "1" * 200_000), row(3, "a@b" + ".c" * 50_000), row(4, "1 " * 100_000)]
     got = {r.doc_id: r for r in pii.digest(pii.found_pii(spark.createDataFrame(rows, SCHEMA))).collect()}
