@@ -22,3 +22,21 @@ def test_sieve_leaves_few_reads_and_loses_no_hit(spark, case):  # noqa: F811
     want |= {h for h in brute([s for s in noise if s not in kept], small, 1)}
     assert rows(al.mismatch_join(reads, index, 1)) == want
     assert rows(al.mismatch_join(reads, index, 1, broadcast_rows=0)) == want
+
+
+def test_large_references_meet_short_reads_in_buckets(spark, case):  # noqa: F811
+    reads, refs = case
+    rnd = random.Random(9)
+    for _ in range(200):
+        text = refs[rnd.choice(["r2", "long", "n", "repeat", "palindrome"])]
+        n = rnd.randint(15, 33)
+        p = rnd.randint(0, max(0, len(text) - n))
+        s = list(text[p:p + n])
+        s[rnd.choice([0, 6, 7, 13, 14, len(s) - 1])] = rnd.choice("ACGTN")
+        reads = [*reads, rc("".join(s)) if rnd.random() < 0.5 else "".join(s)]
+    r, p = frames(spark, (reads, refs))
+    index = al.build_index(p)
+    assert rows(al.mismatch_join(r, index, 1, min_length=15, broadcast_rows=0)) == brute(reads, refs, 1)
+    assert set(index.windows) == {14} and set(index.longer) == {16}
+    plus = al.build_index(p, strands="plus")
+    assert rows(al.mismatch_join(r, plus, 1, min_length=15, broadcast_rows=0)) == {h for h in brute(reads, refs, 1) if h[3] == "+"}
