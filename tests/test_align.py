@@ -77,6 +77,28 @@ def test_join_strategy_does_not_change_the_result(spark, case):
     assert rows(al.mismatch_join(reads, index, 1, broadcast_rows=0)) == rows(al.mismatch_join(reads, index, 1))
 
 
+@pytest.mark.parametrize("v", [2, 3])
+def test_large_references_with_several_mismatches(spark, case, v):
+    """Buckets of parts of the beginnings give the hits of brute force, and need no tile for a candidate."""
+    reads, panel = frames(spark, case)
+    long = case[1]["long"]
+    longer = [long[70:140], rc(long[700:763]), long[3:65], long[3:64] + ("A" if long[64] != "A" else "C")]
+    more = reads.unionByName(spark.createDataFrame([(s,) for s in longer], "seq string"))
+    index = al.build_index(panel, k=7, max_length=80)
+    length = 15 if v == 2 else 16
+    more = more.filter(F.length("seq") >= length)
+    asked = [r["seq"] for r in more.collect()]
+    want = brute(asked, case[1], v)
+    assert rows(al.mismatch_join(more, index, v, "all", length, 0)) == want
+    least = {}
+    for h in want:
+        least[h[0]] = min(least.get(h[0], 9), h[4])
+    assert rows(al.mismatch_join(more, index, v, "best_strata", length, 0, exact_first=True)) == {h for h in want if h[4] == least[h[0]]}
+    assert index.numbered and not index.spaced
+    with pytest.raises(Exception, match="not within"):
+        al.mismatch_join(spark.createDataFrame([("ACGT",)], "seq string"), index, v, "best_strata", length, 0).collect()
+
+
 def test_report_modes(spark, case):
     reads, panel = frames(spark, case)
     want = brute(*case, 1)
