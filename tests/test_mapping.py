@@ -131,6 +131,34 @@ def test_edits_find_all_loci(spark, panel, sequences, broadcast_rows):
     assert {(h.seq, h.ref_id, h.pos, h.end, h.strand, h.edits) for h in strata} == {h for h in want if h[5] == best[h[0]]}
 
 
+def test_edits_on_large_references_meet_few_tiles(spark):
+    """The search in buckets finds the loci of the search by seeds from few of its places."""
+    rnd = random.Random(41)
+    base = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    refs = {"a": base(3000), "b": base(400) + "N" + base(35) + "NN" + base(60), "c": "AC" * 60 + base(20) + "A" * 40, "d": base(45)}
+    asked = set()
+    for _ in range(500):
+        text = refs[rnd.choice("abbccd")]
+        n = rnd.choice([20, 21, 24, 32, 33, 34, 40, 45, 66, 75])
+        at = rnd.randint(0, max(0, len(text) - n))
+        read = list(text[at:at + n])
+        for _ in range(rnd.randint(0, 3)):
+            place = rnd.choice([0, 1, len(read) - 1, len(read) // 2, rnd.randrange(len(read))])
+            read[place] = rnd.choice(["", "A", "C", "G", "T", "N", read[place] + rnd.choice("ACGT")])
+        read = "".join(read)
+        read = read.translate(str.maketrans("ACGTN", "TGCAN"))[::-1] if rnd.random() < 0.5 else read
+        if len(read) >= 20:
+            asked.add(read if rnd.random() < 0.9 else read.lower())
+    reads = spark.createDataFrame([(r,) for r in sorted(asked)], "seq string")
+    panel = spark.createDataFrame(list(refs.items()), "ref_id string, seq string")
+    index = align.build_index(panel, k=7, max_length=90)
+    one, two = (sorted(map(tuple, edits.edit_join(reads, index, ((20, 1), (33, 2)), "all", n).collect())) for n in (500_000, 0))
+    assert one == two and len(one) > 200
+    steps = reads.filter("length(seq) >= 33 and not upper(seq) rlike 'ACACAC|GTGTGT|AAAAAA|TTTTTT'").selectExpr("seq", "cast(floor(length(seq) / 3) as int) as _step")
+    seeded, sifted = (f(steps, index, 2, 0).count() for f in (edits._seeded, edits._sifted))
+    assert sifted * 2 < seeded
+
+
 def test_edits_say_what_cannot_be_searched(spark, panel):
     refs, reads = frames(spark, panel, ["ACGTACGTACGTACGTACGT"])
     with pytest.raises(ValueError, match="need seeds"):
