@@ -315,3 +315,24 @@ def test_preprocess_and_classification_plans(spark):
     assert got["rrna_reads"] == (1, "reads") and got["trna_like_reads"] == (1, "reads") and got["unknown_sequences"] == (1, "sequences")
     assert [(r["seq"], r["n"]) for r in non["unknown"].filter("sample = 'A'").collect()] == [(other[:30], 2)]
     assert {r["taxid"]: r["clade_reads"] for r in non["clades"].filter("sample = 'A'").collect()} == {1: 1, 7: 1}
+
+
+def test_preprocessing_writes_reads_once(spark):
+    """Of the split only the matching sequences are written."""
+    from pathlib import Path
+
+    from ribolake.operators.staging import staging_folder
+    from ribolake.plans.preprocessing import preprocess
+
+    rnd = random.Random(8)
+    host = "".join(rnd.choice("ACGT") for _ in range(90))
+    inserts = [host[5:40], host[20:60], "ACGTTGCA" * 4, "GATTACAT" * 3]
+    raw = spark.createDataFrame([("A", f"r{i}", x, "I" * len(x)) for i, x in enumerate(inserts)], "sample string, read_id string, seq string, qual string")
+    refs = spark.createDataFrame([("h", "genome", host)], "ref_id string, panel string, seq string")
+    folder = Path(staging_folder(spark))
+    old = set(folder.iterdir()) if folder.exists() else set()
+    out = preprocess(raw, refs, ("genome",), adapter="")
+    assert sorted(r["read_id"] for r in out["host"].collect()) == ["r0", "r1"]
+    assert sorted(r["qual"] for r in out["non_host"].collect()) == ["I" * 24, "I" * 32]
+    written = [spark.read.parquet(str(p)) for p in set(folder.iterdir()) - old]
+    assert sum("read_id" in t.columns for t in written) == 1
