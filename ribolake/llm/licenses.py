@@ -1,18 +1,19 @@
 """Licence scan: a trained paragraph classifier with template confirmation.
 
-A sparse logistic regression over hashed words and word pairs, trained on variants of
-notice templates against lines of the corpus, scores every line of every document that is
-not blank. The score a family must reach is calibrated on lines held out from training.
+A sparse logistic regression over the words and word pairs of notice templates, trained on
+variants of them against all lines of the corpus, scores every line of every document that
+is not blank. The score a family must reach is calibrated on a fifth of the lines, held out from training.
 A line is reported if it holds a cue word, or if it reaches that score with evidence: a
 word or pair of a template of its family that at most two families and at most
-``FALSE_SHARE`` of the corpus lines of the training sample have. Reported lines that
+``FALSE_SHARE`` of the corpus lines have. Reported lines that
 follow each other without the end of a sentence are one paragraph, scored again as a
 whole. A paragraph is confirmed if it has the score and evidence and shares enough of its words and word pairs with a
 template of its family; every other reported paragraph is ``unknown``.
 
-The negatives are the lines of about ``NEGATIVE_DOCS`` documents chosen by a hash of the
-id (a stated bound on the training sample), with and without cues, but without those that
-a template confirms.
+The negatives are all lines of all documents, with and without cues, but without those that
+a template confirms. The regression reads of a line only the words and pairs that its
+positives have, so lines that hold the same of them are one weighted example: the fit, the
+counts behind the evidence and the calibration are those of all lines.
 Expressions and the regression run on the JVM.
 
 Defined results: a null or empty text has no paragraphs and an empty list. Repeated rows
@@ -24,20 +25,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import join_small, stage, text_of
+from .common import bound, join_small, stage, text_of
 
 CUE = "(?i)licen[cs]|copyright|copyleft|warrant|permission is|redistribut|public domain|all rights reserved|creative commons"
 FILLED = r"[^\x20\x09-\x0D]"
 SENTENCE_END = r"[.!?:;][\x20\x09-\x0D]*\z"
-FEATURES = 1 << 14
 VARIANTS = 12
-NEGATIVE_DOCS = 2000
 FALSE_SHARE = 0.001
 OVERLAP = 0.6
+BINS = 1000
 
 # Customary notices, by family.
 TEMPLATES = {
@@ -103,41 +103,66 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, i int, line string")
 
 
-def overlaps(spark: SparkSession) -> dict[str, Column]:
-    """Per family the share of ``grams`` that the best of its templates has."""
+def among(values: list[str]):
+    return lambda gram: gram.isin(values)
+
+
+def overlaps(spark: SparkSession, held: Column, size: Column) -> dict[str, Column]:
+    """Per family the share of a line's ``size`` grams, of which it has ``held``, that the best of its templates has."""
     # The templates are a fixed short list: their grams are literals.
     known = templates(spark).select("family", grams(gram_words(F.col("line"))).alias("grams")).collect()
     out = {}
     for family in FAMILIES:
         shares = [
-            F.size(F.array_intersect("grams", F.array(*map(F.lit, set_)))) / F.least(F.size(F.array_distinct("grams")), F.lit(len(set_)))
+            F.size(F.filter(held, among(set_))) / F.least(F.greatest(size, F.lit(1)), F.lit(len(set_)))
             for set_ in (sorted(set(r["grams"])) for r in known if r["family"] == family)
         ]
         out[family] = F.greatest(*shares) if len(shares) > 1 else shares[0]
     return out
 
 
-def examples(docs: DataFrame) -> DataFrame:
-    """Training lines: ``label`` 0 for corpus lines, 1.. for the families."""
-    spark = docs.sparkSession
+def variants(spark: SparkSession) -> DataFrame:
+    """The positives: ``label`` 1.. for the families, ``line`` and its ``grams``."""
     families = F.array(*map(F.lit, FAMILIES))
     # Variant 0 is the whole notice; the others leave out about an eighth of the words.
     dropped = F.filter(
         F.split("line", " "), lambda w: (F.col("v") == 0) | (F.pmod(F.xxhash64(w, F.col("v"), F.lit(3)), F.lit(8)) != 0)
     )
-    positive = templates(spark).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1)))).select(
+    return templates(spark).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1)))).select(
         F.array_position(families, F.col("family")).cast("double").alias("label"), F.array_join(dropped, " ").alias("line")
+    ).withColumn("grams", grams(gram_words(F.col("line"))))
+
+
+def vocabulary(spark: SparkSession) -> list[str]:
+    """Words and pairs of the positives, a fixed short list."""
+    return [r["gram"] for r in variants(spark).select(F.explode("grams").alias("gram")).distinct().orderBy("gram").collect()]
+
+
+def held_out(line: Column) -> Column:
+    return F.pmod(F.xxhash64(line, F.lit(9)), F.lit(5)) == 0
+
+
+def examples(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Training lines, ``n`` alike ones in a row: ``label`` 0 for corpus lines, 1.. for the families, null for lines that may be notices."""
+    spark = docs.sparkSession
+    positive = variants(spark).select("label", held_out(F.col("line")).alias("held"), "grams", F.lit(1).cast("bigint").alias("n"))
+    first = sorted({g.split(" ")[0] for g in vocabulary if " " in g})
+    own = F.col("own")
+    pairs = F.zip_with(
+        own, F.slice(own, F.lit(2), F.greatest(F.size(own), F.lit(1))), lambda a, b: F.when(a.isin(first), F.concat(a, F.lit(" "), b))
     )
-    step = max(1, docs.count() // NEGATIVE_DOCS)
-    negative = docs.filter(F.pmod(F.xxhash64(docs["doc_id"], F.lit(5)), F.lit(step)) == 0).select(
-        F.lit(0.0).alias("label"), F.explode(F.split(text_of(docs), "\n")).alias("line")
-    )
-    # Lines that a template confirms may be notices, all others count as none.
-    # A bounded sample, so a few partitions are enough for the passes of the fit.
-    negative = negative.filter(F.col("line").rlike(FILLED)).withColumn("grams", grams(gram_words(F.col("line")))).filter(
-        F.coalesce(F.greatest(*overlaps(spark).values()), F.lit(0.0)) < OVERLAP
+    lines = docs.select(F.explode(F.split(text_of(docs), "\n")).alias("line")).filter(F.col("line").rlike(FILLED)).select(
+        held_out(F.col("line")).alias("held"), gram_words(F.col("line")).alias("own")
+    ).withColumn("grams", F.array_sort(F.array_distinct(F.concat(F.filter("own", among(vocabulary)), F.filter(pairs, among(vocabulary))))))
+    # Lines that a template confirms may be notices, all others count as none. A line has at
+    # least as many grams as different words, so most need no count of their pairs.
+    best = lambda size: F.coalesce(F.greatest(*overlaps(spark, F.col("grams"), size).values()), F.lit(0.0))
+    confirmed = F.when(best(F.size(F.array_distinct("own"))) < OVERLAP, False).otherwise(
+        best(F.size(F.array_distinct(grams(own)))) >= OVERLAP
     )
-    return positive.withColumn("grams", grams(gram_words(F.col("line")))).union(negative).coalesce(4)
+    # A label, not a filter, which Spark would push below the columns and compute them again for.
+    negative = lines.withColumn("label", F.when(confirmed, F.lit(None)).otherwise(F.lit(0.0)))
+    return positive.unionByName(negative.groupBy("label", "held", "grams").agg(F.count(F.lit(1)).alias("n")))
 
 
 def evidence(known: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
@@ -147,10 +172,10 @@ def evidence(known: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
     """
     of_templates = templates(known.sparkSession).select("family", F.explode(grams(gram_words(F.col("line")))).alias("gram")).distinct()
     lines = known.filter("label = 0")
-    seen = lines.select(F.explode(F.array_distinct("grams")).alias("gram")).join(
+    seen = lines.select("n", F.explode("grams").alias("gram")).join(
         F.broadcast(of_templates.select("gram").distinct()), "gram", "left_semi"
-    ).groupBy("gram").count().collect()  # at most one row a gram of the templates
-    most = FALSE_SHARE * lines.count()
+    ).groupBy("gram").agg(F.sum("n").alias("count")).collect()  # at most one row a gram of the templates
+    most = FALSE_SHARE * (lines.agg(F.sum("n")).first()[0] or 0)
     common = {r["gram"] for r in seen if r["count"] > most}
     families: dict[str, list[str]] = {}
     for r in of_templates.collect():
@@ -166,21 +191,41 @@ def evidence(known: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
 
 def trained(docs: DataFrame) -> tuple[PipelineModel, float, dict[str, list[str]], list[str]]:
     """The fitted classifier, the calibrated score, the evidence and words that every evidence has one of."""
-    known = stage(
-        examples(docs).withColumn("part", F.pmod(F.xxhash64("line", F.lit(9)), F.lit(5))), "licence-examples",
-    )
-    sizes = {r["label"]: r["count"] for r in known.filter("part > 0").groupBy("label").count().collect()}  # one row a class
+    words = vocabulary(docs.sparkSession)
+    known = stage(examples(docs, words), "licence-examples")
+    fitted = known.filter("not held and label is not null")
+    sizes = {r["label"]: r["n"] for r in fitted.groupBy("label").agg(F.sum("n").alias("n")).collect()}  # one row a class
     total = sum(sizes.values())
     weight = F.lit(1.0)
     for label, count in sizes.items():
         weight = F.when(F.col("label") == label, total / len(sizes) / count).otherwise(weight)
     model = Pipeline(stages=[
-        HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True),
+        CountVectorizerModel.from_vocabulary(words, inputCol="grams", outputCol="features").setBinary(True),
         LogisticRegression(weightCol="weight", family="multinomial", regParam=1e-4, maxIter=30, standardization=False),
-    ]).fit(known.filter("part > 0").withColumn("weight", weight))
-    held = best_family(model, known.filter("part = 0 and label = 0"))
-    score = held.agg(F.percentile("score", F.lit(1 - FALSE_SHARE))).first()[0]
-    return model, max(0.5, score or 0.0), *evidence(known)
+    ]).fit(fitted.withColumn("weight", weight * F.col("n")))
+    scores = stage(best_family(model, known.filter("held and label = 0")).select("score", "n"), "licence-scores")
+    return model, quantile(scores, FALSE_SHARE), *evidence(known)
+
+
+def quantile(scores: DataFrame, share: float) -> float:
+    """The least ``score`` from 0.5 on that at most ``share`` of the rows, each counted ``n`` times, exceed."""
+    left = share * (scores.agg(F.sum("n")).first()[0] or 0)
+    low, high = 0.5, 1.0
+    while True:
+        # Exact: the bin that holds the score is divided again until it holds one value.
+        bin_ = F.least(F.floor((F.col("score") - low) / (high - low) * BINS), F.lit(BINS - 1))
+        bins = scores.filter((F.col("score") >= low) & (F.col("score") <= high)).groupBy(bin_.alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")
+        ).orderBy(F.desc("bin")).collect()  # at most BINS rows
+        for r in bins:
+            if r["n"] > left:
+                break
+            left -= r["n"]
+        else:
+            return 0.5
+        if r["low"] == r["high"]:
+            return r["low"]
+        low, high = r["low"], r["high"]
 
 
 def best_family(model: PipelineModel, lines: DataFrame) -> DataFrame:
@@ -207,8 +252,8 @@ def found_licenses(docs: DataFrame) -> DataFrame:
     # Exact: only a line with a cue or an evidence can be reported. A pair is looked for by
     # the one of its words that fewer lines have, and only then as a pair.
     has_cue = F.col("line").rlike(CUE)
-    own, shown_words = gram_words(F.col("line")), sorted({w for words in known.values() for w in words})
-    some_evidence = F.arrays_overlap(own, F.array(*map(F.lit, anchors))) & F.arrays_overlap(grams(own), F.array(*map(F.lit, shown_words)))
+    shown_words = sorted({w for words in known.values() for w in words})
+    some_evidence = bound(gram_words(F.col("line")), lambda own: F.exists(own, among(anchors)) & F.exists(grams(own), among(shown_words)))
     hinted = stage(every.filter(has_cue | some_evidence), "licence-hinted")
     # A line that stands in many texts is scored once.
     distinct = hinted.select("line").distinct().withColumn("grams", grams(gram_words(F.col("line")))).filter(F.size("grams") > 0)
@@ -227,7 +272,8 @@ def found_licenses(docs: DataFrame) -> DataFrame:
     )
     named = best_family(model, paragraphs)
     overlap = F.lit(0.0)
-    for family, share in overlaps(docs.sparkSession).items():
+    own_grams = F.array_distinct("grams")
+    for family, share in overlaps(docs.sparkSession, own_grams, F.size(own_grams)).items():
         overlap = F.when(F.col("family") == family, share).otherwise(overlap)
     return named.withColumn("overlap", overlap).withColumn(
         "family", F.when(sure & (F.col("overlap") >= OVERLAP), F.col("family")).otherwise("unknown")

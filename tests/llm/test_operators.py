@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 from corpus import SCHEMA, odd_rows, random_rows, row  # noqa: E402
@@ -681,3 +682,47 @@ def test_licences_without_a_cue_and_over_two_lines(spark, many):
     assert [got[1001 + i].spans for i in range(5)] == ["1:gpl", "1:gpl", "1:mit", "1:cc-by-sa", "1:apache"]
     assert got[1010].spans == "0:mit" and got[1011].spans == "0:unknown"
     assert all(got[i].families == "" for i in range(120))
+
+
+def test_licence_evidence_counts_lines_of_all_documents(spark):
+    # A sample of about 2,000 documents by this hash would miss every line with the word.
+    docs = spark.range(4100).select(F.col("id").alias("doc_id"), F.when(
+        F.pmod(F.xxhash64("id", F.lit(5)), F.lit(2)) == 0, "stone river paper light"
+    ).otherwise("stone river apache light").alias("text"))
+    evidence = licenses.trained(docs)[2]["apache"]
+    assert "apache" not in evidence and "the apache" in evidence
+
+
+def test_licence_examples_are_all_lines(spark):
+    def grams(line):
+        words = re.findall(r"[^\W_]+", line.lower())
+        return {*words, *map(" ".join, zip(words, words[1:]))}
+
+    extra = ["Released under the MIT License.\nconditions of any stone", "conditions of any stone river paper light water", "License", "--- | ***"]
+    texts = [t or "" for _, t, *_ in odd_rows() + random_rows()] + extra
+    docs = spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA)
+    known = licenses.vocabulary(spark)
+    templates = [grams(t) for of in licenses.TEMPLATES.values() for t in of]
+    want = Counter()
+    for line in "\n".join(texts).split("\n"):
+        if WORD.search(line):
+            own = grams(line)
+            best = max(len(own & t) / min(len(own), len(t)) for t in templates) if own else 0
+            want[None if best >= licenses.OVERLAP else 0.0, tuple(sorted(own & {*known}))] += 1
+    rows = licenses.examples(docs, known).filter("label is null or label = 0").collect()
+    got = Counter()
+    for r in rows:
+        got[r.label, tuple(r.grams)] += r.n
+    phrase = ("any", "conditions", "conditions of", "of", "of any")
+    assert got == want and got[None, phrase] == got[0.0, phrase] == 1
+    assert {r.held for r in rows} == {True, False}
+
+
+@pytest.mark.parametrize("share", [0.0, 0.001, 0.05, 0.5, 1.0])
+def test_licence_score_is_an_exact_quantile(spark, share):
+    rng = random.Random(4)
+    scores = [(x, rng.randint(1, 9)) for x in [1 - rng.random() ** 8 / 10 for _ in range(3000)] + [0.1] * 50 + [0.9999] * 20]
+    ordered = sorted((x for x, n in scores for _ in range(n)), reverse=True)
+    want = max(0.5, ordered[min(int(share * len(ordered)), len(ordered) - 1)])
+    assert licenses.quantile(spark.createDataFrame(scores, "score double, n bigint"), share) == want
+    assert licenses.quantile(spark.createDataFrame([], "score double, n bigint"), share) == 0.5
