@@ -45,16 +45,16 @@ def found(spark, odd, **options):
     given, refs = odd
     index = al.build_index(spark.createDataFrame(list(refs.items()), "ref_id string, seq string"), strands=options.pop("strands", "both"))
     reads = spark.createDataFrame([(s,) for s in given], "seq string").repartition(3)
-    out = [tuple(r) for r in al.mismatch_join(reads, index, 1, min_length=15, broadcast_rows=0, counted=True, **options).select(*al.HIT_COLUMNS, "n_hits").collect()]
+    out = [tuple(r) for r in al.mismatch_join(reads, index, options.pop("v", 1), min_length=15, broadcast_rows=0, counted=True, **options).select(*al.HIT_COLUMNS, "n_hits").collect()]
     assert len(out) == len(set(out))
     return set(out)
 
 
-def wanted(odd, keep=lambda hit, least: True):
+def wanted(odd, keep=lambda hit, least: True, v=1):
     given, refs = odd
     clean = {s: s.upper().replace("U", "T") for s in set(given)}
     by_text = {}
-    for hit in brute(clean.values(), refs, 1):
+    for hit in brute(clean.values(), refs, v):
         by_text.setdefault(hit[0], []).append(hit)
     out = set()
     for s, t in clean.items():
@@ -80,6 +80,23 @@ def test_best_hits_with_their_number(spark, odd):
     assert found(spark, odd, report="best1") == {(s, *h[1:], h[0], 1) for s, h in first.items()}
 
 
+def test_several_mismatches(spark, odd):
+    assert found(spark, odd, v=2) == wanted(odd, v=2)
+    assert found(spark, odd, v=2, report="best_strata", strands="plus") == {
+        (*h[:5], n) for h, n in _best_of_strand(wanted(odd, lambda h, least: h[3] == "+", 2))
+    }
+
+
+def _best_of_strand(hits):
+    least, kept = {}, {}
+    for h in hits:
+        least[h[0]] = min(least.get(h[0], 9), h[4])
+    for h in hits:
+        if h[4] == least[h[0]]:
+            kept.setdefault(h[0], []).append(h)
+    return [(h, len(group)) for group in kept.values() for h in group]
+
+
 def test_counted_hits_need_no_second_count(spark, odd):
     hits = spark.createDataFrame([("a", 0, 1)], "seq string, mm int, n_hits bigint")
     assert ct.multihit_count(hits).collect() == hits.collect()
